@@ -214,13 +214,13 @@ balances as (
   group by client_id
 ),
 metrics as (
-  select c.* except (units),
+  select c.* except (units, overall, quartiles),
          f.favorite_merchant, f.favorite_merchant_spending,
          b.total_opening_balance, b.account_count, b.primary_account_type,
-         (select mean from {overall}) as avg_spending_all_clients,
-         (select deviation from {overall}) as stddev_spending,
-         (select q0 / 10000D from {quartiles}) as percentile_25,
-         (select q1 / 10000D from {quartiles}) as percentile_75,
+         c.overall.mean as avg_spending_all_clients,
+         c.overall.deviation as stddev_spending,
+         c.quartiles.q0 / 10000D as percentile_25,
+         c.quartiles.q1 / 10000D as percentile_75,
          round(transaction_count / 24D, 2) as spending_frequency,
          round(weekend_spending / nullif(total_spent, 0) * 100, 1) as weekend_ratio,
          round((unique_merchants + unique_categories) / 2D, 1) as diversity_score,
@@ -264,6 +264,13 @@ def daily_spending_analytics(sales: DataFrame, accounts: DataFrame, day: date |
     """One row per client with sales that day: spending profile, segment and risk."""
     clients = client_spending(sales, day)
     totals = clients.select("units", "total_spent")
+    overall = totals.agg(
+        F.struct(
+            (from_units(F.sum("units")) / F.count("*")).alias("mean"),
+            F.stddev_samp("total_spent").alias("deviation"),
+        ).alias("overall")
+    )
+    quartiles = exact_quantiles(totals, "units", [0.25, 0.75]).select(F.struct("*").alias("quartiles"))
     opened = accounts.where(F.col("open_date") < F.date_add(F.lit(as_date(day)), 1)).where(
         "client_id is not null and opening_balance is not null"
     )
@@ -271,13 +278,8 @@ def daily_spending_analytics(sales: DataFrame, accounts: DataFrame, day: date |
         _SPENDING,
         args={"day": as_date(day).isoformat()},
         bought=sales_of_day(sales, day).select("client_id", "merchant", "units"),
-        clients=clients,
+        clients=clients.withColumns({"overall": overall.scalar(), "quartiles": quartiles.scalar()}),
         accounts=opened.withColumn("balance_units", to_units(F.col("opening_balance"))),
-        overall=totals.agg(
-            (from_units(F.sum("units")) / F.count("*")).alias("mean"),
-            F.stddev_samp("total_spent").alias("deviation"),
-        ),
-        quartiles=exact_quantiles(totals, "units", [0.25, 0.75]),
     )
 
 

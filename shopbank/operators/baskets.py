@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from shopbank.functions.calendar import as_date, completed_years, within_year
 from shopbank.functions.categories import RESTRICTED
 from shopbank.functions.money import from_units, to_units
+from shopbank.functions.rows import having
 
 
 def _lines(transactions: DataFrame) -> DataFrame:
-    return transactions.dropna(subset=["customer_id", "product_id", "quantity", "transaction_id"])
+    return having(transactions, "customer_id", "product_id", "quantity", "transaction_id")
 
 
 def _spent_units():
@@ -99,7 +100,7 @@ def top_buyers(transactions: DataFrame, year: int, n: int = 10) -> DataFrame:
 
 def top_customers(transactions: DataFrame, n: int = 100) -> DataFrame:
     """Text lines ``customer|total`` of the customers who spent most."""
-    priced = transactions.dropna(subset=["customer_id", "quantity", "unit_price_at_purchase"])
+    priced = having(transactions, "customer_id", "quantity", "unit_price_at_purchase")
     totals = priced.groupBy("customer_id").agg(from_units(_spent_units()).alias("total_spent"))
     line = F.concat_ws("|", "customer_id", F.col("total_spent").cast("string"))
     return totals.orderBy(F.desc("total_spent"), "customer_id").limit(n).select(line.alias("value"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shopbank.functions import contact
 from shopbank.functions.calendar import as_date, completed_years
 from shopbank.functions.categories import age_group
+from shopbank.functions.rows import having
 
 
 def clean_customers(customers: DataFrame) -> DataFrame:
@@ -39,7 +40,7 @@ def customer_ages(customers: DataFrame, as_of: date | str) -> DataFrame:
     """Customers with a birth date, with card type, issue date, age and age group."""
     today = F.lit(as_date(as_of))
     return (
-        customers.dropna(subset=["customer_id", "birth_date"])
+        having(customers, "customer_id", "birth_date")
         .withColumn("card", contact.card(F.col("fidelity_card")))
         .withColumn("fidelity_type", F.col("card.type"))
         .withColumn("fidelity_issue_date", F.col("card.issue_date").try_cast("date"))

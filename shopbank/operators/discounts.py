@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import week_start, within_year
 from shopbank.functions.money import exact_avg, from_units, to_units
+from shopbank.functions.rows import having
 from shopbank.operators.intervals import days_in_windows
 from shopbank.operators.prices import valid_prices
 
 
 def valid_discounts(discounts: DataFrame) -> DataFrame:
-    return discounts.dropna(subset=["product_id", "valid_from", "valid_to"])
+    return having(discounts, "product_id", "valid_from", "valid_to")
 
 
 def avg_discount_per_week(discounts: DataFrame) -> DataFrame:
@@ -65,7 +66,7 @@ def discounted_prices(discounts: DataFrame, prices: DataFrame) -> DataFrame:
 def purchases_during_discount(transactions: DataFrame, discounts: DataFrame) -> DataFrame:
     """Lines and units bought within each discount window; discounts without purchases are absent."""
     daily = (
-        transactions.dropna(subset=["product_id", "transaction_date", "customer_id"])
+        having(transactions, "product_id", "transaction_date", "customer_id")
         .groupBy("product_id", F.to_date("transaction_date").alias("day"))
         .agg(F.count("*").alias("lines"), F.sum("quantity").alias("units"))
     )
@@ -93,7 +94,7 @@ def missed_savings(
     """What customers without a card would have saved with one; overlapping discounts all count."""
     cardless = customers.where("customer_id is not null and fidelity_card is null").select("customer_id")
     bought = (
-        transactions.dropna(subset=["product_id", "transaction_date", "customer_id"])
+        having(transactions, "product_id", "transaction_date", "customer_id")
         .join(cardless, "customer_id", "left_semi")
         .groupBy("product_id", F.to_date("transaction_date").alias("day"))
         .agg(F.sum("quantity").alias("quantity"))

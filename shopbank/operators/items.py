@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import within_year
+from shopbank.functions.rows import having
 
 # Distinct products a basket may hold before its pairs are shared out over several tasks.
 BLOCK = 500
 
 
 def _lines(transactions: DataFrame) -> DataFrame:
-    return transactions.dropna(subset=["transaction_id", "product_id", "quantity", "transaction_date"])
+    return having(transactions, "transaction_id", "product_id", "quantity", "transaction_date")
 
 
 def most_purchased(transactions: DataFrame) -> DataFrame:
@@ -30,7 +31,8 @@ def bought_together(transactions: DataFrame, block: int = BLOCK) -> DataFrame:
     are joined with themselves on the transaction. A basket of more than ``block`` products is cut
     into k blocks by product hash, and each of the k*k block pairs gets a join key of its own, so
     that no key compares more than about block*block products. Pairs are counted map-side in the
-    stage of the join; only counts are shuffled.
+    stage of the join; only counts are shuffled. Without large baskets, adaptive execution drops
+    the second branch once their list turns out empty.
     """
     items = _lines(transactions).select("transaction_id", "product_id").distinct()
     large = (
@@ -38,20 +40,24 @@ def bought_together(transactions: DataFrame, block: int = BLOCK) -> DataFrame:
         .agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
         .where("blocks > 1")
     )
-    placed = (
-        items.join(large, "transaction_id", "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        .withColumn("block", F.pmod(F.hash("product_id"), F.col("blocks")))
+    ordinary = items.join(large.select("transaction_id"), "transaction_id", "left_anti")
+    pairs = ordinary.withColumnRenamed("product_id", "product_a").join(
+        ordinary.withColumnRenamed("product_id", "product_b"), "transaction_id"
     )
+
+    placed = items.join(large, "transaction_id").withColumn("block", F.pmod(F.hash("product_id"), F.col("blocks")))
     every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = placed.select(
+    block_pairs = placed.select(
         "transaction_id", F.col("product_id").alias("product_a"), F.col("block").alias("i"), every_block.alias("j")
-    )
-    right = placed.select(
-        "transaction_id", F.col("product_id").alias("product_b"), every_block.alias("i"), F.col("block").alias("j")
+    ).join(
+        placed.select(
+            "transaction_id", F.col("product_id").alias("product_b"), every_block.alias("i"), F.col("block").alias("j")
+        ),
+        ["transaction_id", "i", "j"],
     )
     return (
-        left.join(right, ["transaction_id", "i", "j"])
+        pairs.select("product_a", "product_b")
+        .unionByName(block_pairs.select("product_a", "product_b"))
         .where("product_a < product_b")
         .groupBy("product_a", "product_b")
         .agg(F.count("*").alias("co_occurrences"))

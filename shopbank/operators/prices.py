@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import as_date, week_start, within_year
 from shopbank.functions.money import exact_avg, from_units, to_units
+from shopbank.functions.rows import having
 from shopbank.operators.intervals import days_in_windows
 
 
 def valid_prices(prices: DataFrame) -> DataFrame:
-    return prices.dropna(subset=["product_id", "valid_date", "price"])
+    return having(prices, "product_id", "valid_date", "price")
 
 
 def filled_prices(
@@ -36,7 +37,7 @@ def filled_prices(
     The grid itself is never shuffled: every recorded price is turned into the run of days up to the
     next one, after the only exchange by product.
     """
-    dated = prices.dropna(subset=["product_id", "valid_date"])
+    dated = having(prices, "product_id", "valid_date")
     first = F.lit(as_date(start)) if start else dated.agg(F.min("valid_date")).scalar()
     last = F.lit(as_date(end)) if end else dated.agg(F.max("valid_date")).scalar()
 
@@ -150,7 +151,7 @@ def increase_before_discount(prices: DataFrame, discounts: DataFrame) -> DataFra
         .groupBy("product_id", "valid_date")
         .agg(F.sum(to_units(F.col("price"))).alias("price_units"), F.count("*").alias("rows"))
     )
-    windows = discounts.dropna(subset=["discount_id", "product_id", "valid_from"]).select(
+    windows = having(discounts, "discount_id", "product_id", "valid_from").select(
         "discount_id", "product_id", "valid_from"
     )
     start = F.col("valid_from")

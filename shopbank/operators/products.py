@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shopbank.functions import categories as C
 from shopbank.functions.calendar import day_in_week, week_start
+from shopbank.functions.rows import having
 
 
 def inferred_categories(
@@ -33,7 +34,7 @@ def daily_products(products: DataFrame, prices: DataFrame) -> DataFrame:
     """Each recorded price with its product and its place in the business week."""
     day = F.col("valid_date")
     return (
-        prices.dropna(subset=["product_id", "valid_date"])
+        having(prices, "product_id", "valid_date")
         .select("product_id", "valid_date", "price")
         .join(products.where("product_id is not null"), "product_id")
         .withColumns({"week_start": week_start(day), "day_in_week": day_in_week(day)})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopbank.functions.rows import having
+
 
 def _rank(df: DataFrame, group: str, *order: Column | str) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
@@ -24,11 +26,11 @@ def next_products(
     shuffle of its ranking (row_number filters become group limits).
     """
     bought = (
-        transactions.dropna(subset=["customer_id", "product_id", "quantity"])
+        having(transactions, "customer_id", "product_id", "quantity")
         .groupBy("customer_id", "product_id")
         .agg(F.sum("quantity").alias("units"))
     )
-    listed = products.dropna(subset=["product_id", "category"]).select("product_id", "category")
+    listed = having(products, "product_id", "category").select("product_id", "category")
 
     by_category = bought.join(listed, "product_id").groupBy("customer_id", "category").agg(F.sum("units").alias("units"))
     favourites = (

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import within_year
 from shopbank.functions.money import from_units, to_units
+from shopbank.functions.rows import having
 from shopbank.operators.discounts import valid_discounts
 
 
 def priced_lines(transactions: DataFrame, year: int | None = None) -> DataFrame:
-    lines = transactions.dropna(
-        subset=["transaction_id", "product_id", "transaction_date", "quantity", "unit_price_at_purchase"]
-    )
+    lines = having(transactions, "transaction_id", "product_id", "transaction_date", "quantity", "unit_price_at_purchase")
     return lines if year is None else lines.where(within_year(F.col("transaction_date"), year))
 
 
@@ -78,7 +77,7 @@ def revenue_monthly(transactions: DataFrame, year: int) -> DataFrame:
 
 def _taxed_products(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue and contained tax per product, in units: the join sees one row per product."""
-    rates = products.dropna(subset=["product_id", "tva_rate"]).select("product_id", "tva_rate")
+    rates = having(products, "product_id", "tva_rate").select("product_id", "tva_rate")
     sold = lines.groupBy("product_id").agg(_revenue_units().alias("revenue"))
     contained = F.expr("revenue * tva_rate / (tva_rate + 1)")
     return sold.join(rates, "product_id").select("revenue", F.floor(contained + 0.5).alias("tva"))

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import within_year
+from shopbank.functions.rows import having
 
 
 def lines_of_year(transactions: DataFrame, year: int) -> DataFrame:
     """The base of the operators below."""
-    return transactions.dropna(subset=["transaction_date", "transaction_id", "quantity"]).where(
+    return having(transactions, "transaction_date", "transaction_id", "quantity").where(
         within_year(F.col("transaction_date"), year)
     )
 
