@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopbank.functions.calendar import week_start
+from shopbank.functions.calendar import day_in_week, week_start
 
 
 def spread_over_weeks(windows: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -35,3 +35,24 @@ def days_in_windows(
     dated = facts.withColumn("week_start", week_start(F.col(day)))
     inside = F.col(day).between(F.col("_first"), F.col("_last"))
     return dated.join(spread, [key, "week_start"]).where(inside).drop("_first", "_last", "week_start")
+
+
+def days_covered(windows: DataFrame, first: str, last: str, key: str = "product_id") -> DataFrame:
+    """The days inside any window, one row per key and week: ``days`` has bit 0 for its Wednesday, and so on.
+
+    A left join on (key, week) with this table cannot repeat a fact, however many windows overlap.
+    """
+    spread = spread_over_weeks(windows.select(key, first, last), F.col(first), F.col(last))
+    start = F.greatest(F.datediff(first, "week_start"), F.lit(0))
+    end = F.least(F.datediff(last, "week_start"), F.lit(6))
+    bits = F.expr("shiftleft(1, stop + 1) - shiftleft(1, start)")
+    return (
+        spread.select(key, "week_start", start.alias("start"), end.alias("stop"))
+        .groupBy(key, "week_start")
+        .agg(F.bit_or(bits).alias("days"))
+    )
+
+
+def is_covered(day: Column) -> Column:
+    """Whether a day is among the joined ``days`` of its week; false without any."""
+    return F.coalesce(F.getbit("days", day_in_week(day)) == 1, F.lit(False))

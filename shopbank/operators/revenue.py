@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopbank.functions.calendar import within_year
+from shopbank.functions.calendar import week_start, within_year
 from shopbank.functions.money import from_units, to_units
 from shopbank.functions.rows import having
 from shopbank.operators.discounts import valid_discounts
+from shopbank.operators.intervals import days_covered, is_covered
 
 
 def priced_lines(transactions: DataFrame, year: int | None = None) -> DataFrame:
@@ -24,17 +25,15 @@ def _revenue_units() -> Column:
     return F.sum(to_units(_revenue()))
 
 
-def discount_days(discounts: DataFrame) -> DataFrame:
-    """The distinct (product, day) pairs under a discount."""
-    days = F.explode(F.sequence("valid_from", "valid_to"))
-    spread = valid_discounts(discounts).where("valid_from <= valid_to").select("product_id", days.alias("day"))
-    return spread.distinct().withColumn("on_discount", F.lit(True))
+def _with_discount_days(facts: DataFrame, day: Column, discounts: DataFrame) -> DataFrame:
+    covered = days_covered(valid_discounts(discounts), "valid_from", "valid_to")
+    return facts.withColumn("week_start", week_start(day)).join(covered, ["product_id", "week_start"], "left")
 
 
 def flagged_sales(transactions: DataFrame, discounts: DataFrame) -> DataFrame:
     """Every line once, with its revenue and whether a discount held for its product on its day."""
-    lines = priced_lines(transactions).withColumn("day", F.to_date("transaction_date"))
-    return lines.join(discount_days(discounts), ["product_id", "day"], "left").select(
+    day = F.to_date("transaction_date")
+    return _with_discount_days(priced_lines(transactions), day, discounts).select(
         "transaction_id",
         "customer_id",
         "product_id",
@@ -42,28 +41,26 @@ def flagged_sales(transactions: DataFrame, discounts: DataFrame) -> DataFrame:
         "quantity",
         F.col("unit_price_at_purchase").alias("unit_price"),
         _revenue().alias("revenue"),
-        F.coalesce("on_discount", F.lit(False)).alias("on_discount"),
+        is_covered(day).alias("on_discount"),
     )
 
 
 def revenue_totals(transactions: DataFrame, discounts: DataFrame, year: int) -> DataFrame:
-    """Income of a year: all, outside discounts, under discount. Joined by product and day only."""
+    """Income of a year: all, outside discounts, under discount. Joined by product and week only."""
     daily = (
         priced_lines(transactions, year)
         .groupBy("product_id", F.to_date("transaction_date").alias("day"))
         .agg(_revenue_units().alias("revenue"))
     )
-    flagged = daily.join(
-        discount_days(discounts).where(within_year(F.col("day"), year)), ["product_id", "day"], "left"
-    )
+    on_discount = is_covered(F.col("day"))
 
     def income(rows: Column) -> Column:
         return F.round(from_units(F.sum(F.when(rows, F.col("revenue")).otherwise(0))), 2)
 
-    return flagged.agg(
+    return _with_discount_days(daily, F.col("day"), discounts).agg(
         F.round(from_units(F.sum("revenue")), 2).alias("total_income"),
-        income(F.col("on_discount").isNull()).alias("income_excl_discount"),
-        income(F.col("on_discount").isNotNull()).alias("income_only_discount"),
+        income(~on_discount).alias("income_excl_discount"),
+        income(on_discount).alias("income_only_discount"),
     )
 
 
