@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,18 +45,24 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], bucke
     def position(fraction: float):
         return (F.col("total") - 1) * F.lit(float(fraction))
 
+    def holds(rank):
+        return (rank >= F.col("before")) & (rank < F.col("upto"))
+
     wanted = [rank(position(f)) for f in fractions for rank in (F.floor, F.ceil)]
-    needed = ranges.where(F.exists(F.array(*wanted), lambda r: (r >= F.col("before")) & (r < F.col("upto"))))
-    # At most two rows per fraction.
-    found = placed.join(F.broadcast(needed.select("bucket", "before", "total")), "bucket")
+    needed = ranges.where(reduce(lambda a, b: a | b, [holds(rank) for rank in wanted]))
+    # A map of at most two entries per fraction.
+    by_bucket = needed.agg(
+        F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("before", "total"))))
+    ).scalar()
+    found = placed.withColumn("range", F.try_element_at(by_bucket, F.col("bucket"))).where("range is not null")
+    found = found.select("bucket", "value", "copies", "range.before", "range.total")
     upto = F.col("before") + F.sum("copies").over(
         Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = found.select("value", "total", upto.alias("upto"), (upto - F.col("copies")).alias("before"))
 
     def at(rank):
-        held = (rank >= F.col("before")) & (rank < F.col("upto"))
-        return F.max(F.when(held, F.col("value")))
+        return F.max(F.when(holds(rank), F.col("value")))
 
     columns = []
     for i, fraction in enumerate(fractions):
