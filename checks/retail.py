@@ -351,7 +351,7 @@ with items as (select distinct transaction_id, product_id from transactions)
 select a.product_id as product_a, b.product_id as product_b, count(*) as co_occurrences
 from items a join items b on a.transaction_id = b.transaction_id and a.product_id < b.product_id group by 1, 2"""),
     Check("top10_december", lambda v: items.top_of_month(v.transactions), """
-select product_id, cast(sum(quantity) as bigint) as units from transactions where month(transaction_date) = 12
+select product_id, cast(sum(quantity) as bigint) as units_in_december from transactions where month(transaction_date) = 12
 group by 1 order by 2 desc, 1 limit 10"""),
     Check("category_most_discounts", lambda v: discounts.discounts_per_category(v.discounts, v.products), """
 select category, count(*) as discount_events from discounts join products using (product_id) group by 1"""),
@@ -399,7 +399,7 @@ from flagged where {in_year('transaction_date')}"""),
 with {YEAR_LINES} select cast(month(the_date) as int) as month, {rounded(SPENT, 2)} as monthly_income
 from lines group by 1"""),
     Check("tax_total", lambda v: revenue.tax_total(v.transactions, v.products, YEAR), f"""
-with {taxed(in_year('transaction_date'))} select {rounded('sum(tva) / 1e4', 2)} as total_tva from taxed"""),
+with {taxed(in_year('transaction_date'))} select {rounded('sum(tva) / 1e4', 2)} as total_tva_{YEAR} from taxed"""),
     Check(
         "tax_refundable_legal",
         lambda v: revenue.tax_refundable_legal(v.transactions, v.products, v.customers, YEAR),

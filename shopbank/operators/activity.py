@@ -39,8 +39,8 @@ def latency_by_dataproduct(events: DataFrame, as_of: date | str, days: int = 30)
     ``refdate`` and ``timestamp`` are text, 'yyyy-MM-dd' and 'yyyy-MM-dd HH:mm:ss'.
     """
     keys = ["dataset", "dataproduct", "mandant"]
-    refdate = F.to_timestamp("refdate", "yyyy-MM-dd")
-    arrived = F.to_timestamp("timestamp", "yyyy-MM-dd HH:mm:ss")
+    refdate = F.try_to_timestamp("refdate", F.lit("yyyy-MM-dd"))
+    arrived = F.try_to_timestamp("timestamp", F.lit("yyyy-MM-dd HH:mm:ss"))
     recent = events.where(refdate >= F.lit(as_date(as_of) - timedelta(days=days)))
     delay = F.unix_timestamp(arrived) - F.unix_timestamp(refdate)
     stats = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from calendar import month_name
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,14 +67,15 @@ def bought_together(transactions: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def top_of_month(transactions: DataFrame, month: int = 12, n: int = 10, year: int | None = None) -> DataFrame:
-    """Products with most units in a calendar month, of one year or of all."""
+    """Products with most units in a calendar month, of one year or of all: ``units_in_december`` and so on."""
+    units = f"units_in_{month_name[month].lower()}"
     lines = _lines(transactions)
     if year is not None:
         lines = lines.where(within_year(F.col("transaction_date"), year))
     return (
         lines.where(F.month("transaction_date") == month)
         .groupBy("product_id")
-        .agg(F.sum("quantity").alias("units"))
-        .orderBy(F.desc("units"), "product_id")
+        .agg(F.sum("quantity").alias(units))
+        .orderBy(F.desc(units), "product_id")
         .limit(n)
     )

@@ -21,8 +21,8 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], bucke
     is shared out, never the answer.
     """
     values = df.where(F.col(value).isNotNull()).select(F.col(value).alias("value"))
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = values.agg(F.percentile_approx("value", steps, 10 * buckets)).scalar()
+    steps = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    cuts = values.agg(F.expr(f"percentile_approx(value, array({steps}), {10 * buckets})")).scalar()
     placed = (
         values.groupBy("value")
         .agg(F.count("*").alias("copies"))

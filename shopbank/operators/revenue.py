@@ -82,7 +82,7 @@ def _taxed_products(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 def tax_total(transactions: DataFrame, products: DataFrame, year: int) -> DataFrame:
     taxed = _taxed_products(priced_lines(transactions, year), products)
-    return taxed.agg(F.round(from_units(F.sum("tva")), 2).alias("total_tva"))
+    return taxed.agg(F.round(from_units(F.sum("tva")), 2).alias(f"total_tva_{year}"))
 
 
 def tax_refundable_legal(

@@ -57,11 +57,11 @@ def read_tables(spark: SparkSession, root: str, file_format: str = "csv") -> Tab
 
 
 def data_preparation(t: Tables, s: Settings, keep: Keep) -> Results:
-    filled = keep(prices.filled_prices(t.prices, t.products))
+    # The grid is far larger than the prices it comes from, so it is made twice rather than kept.
     return {
         "customers_clean": customers.clean_customers(t.customers),
-        "missing_prices": filled.where("price is null").select("product_id", "valid_date"),
-        "prices_filled": filled,
+        "missing_prices": prices.missing_prices(t.prices, t.products),
+        "prices_filled": prices.filled_prices(t.prices, t.products),
     }
 
 

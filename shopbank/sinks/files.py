@@ -16,9 +16,14 @@ def overwrite_parquet(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_weekly_parquet(df: DataFrame, path: str) -> None:
-    """One file per business week: all rows of a week meet in one task, weeks are spread over tasks."""
-    df.repartition("week_start").write.mode("overwrite").partitionBy("week_start").parquet(path)
+def write_weekly_parquet(df: DataFrame, path: str, files_per_week: int = 1) -> None:
+    """One file per business week; weeks are spread over tasks.
+
+    A single file is the work of a single task. For weeks too large for that, ``files_per_week``
+    splits each of them by row hash.
+    """
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_week))
+    df.repartition("week_start", part).write.mode("overwrite").partitionBy("week_start").parquet(path)
 
 
 def write_weekly_csv(df: DataFrame, path: str, weeks_at_once: int = 64) -> None:

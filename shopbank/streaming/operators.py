@@ -13,7 +13,7 @@ from shopbank.functions.money import exact_sum
 
 def with_event_time(df: DataFrame, column: str, day: date | str | None = None) -> DataFrame:
     """``event_time`` as a timestamp and ``event_date``, optionally of one day only."""
-    timed = df.withColumn("event_time", F.col(column).cast("timestamp")).where("event_time is not null")
+    timed = df.withColumn("event_time", F.col(column).try_cast("timestamp")).where("event_time is not null")
     if day is not None:
         timed = timed.where(on_day(F.col("event_time"), day))
     return timed.withColumn("event_date", F.to_date("event_time"))

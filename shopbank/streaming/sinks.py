@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -55,42 +56,58 @@ def summed(stored: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return stored.groupBy(*keys).agg(F.sum(value).alias(value))
 
 
+def _existing(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def upsert(target: str, key: Sequence[str], order: Sequence[str], partitions: int = 32) -> BatchWriter:
     """Keeps the latest row of each key, by ``order``, in a Parquet table split by key hash.
 
-    Only the partitions a batch touches are rewritten. The new content is staged first and then
-    swapped in by dynamic partition overwrite; repeating a batch at any point gives the same table.
+    Only the partitions a batch touches are rewritten. Their new content is staged whole beside the
+    table and then swapped in by dynamic partition overwrite. A batch repeated after a failure in
+    the middle of the swap finds its staged content complete and swaps again; one that failed
+    earlier starts over from the untouched table.
     """
+    staged = f"{target}__staged"
 
     def latest(rows: DataFrame) -> DataFrame:
         columns = [c for c in rows.columns if c not in ("part", *key)]
         newest = F.max(F.struct(*order, *[c for c in columns if c not in order])).alias("row")
         return rows.groupBy("part", *key).agg(newest).select("part", *key, *[F.col(f"row.{c}") for c in columns])
 
+    def stage(new: DataFrame, batch_id: int) -> None:
+        spark = new.sparkSession
+        old = _existing(spark, target, new.schema)
+        if old is not None:
+            # At most ``partitions`` rows; the table is read only where the batch touches it.
+            touched = new.select("part").distinct()
+            new = latest(new.unionByName(old.join(touched, "part", "left_semi")))
+        new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(staged)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        staged = f"{target}__staged/batch_id={batch_id}"
         new = latest(batch.withColumn("part", F.pmod(F.hash(*key), F.lit(partitions)))).persist()
-        if not new.isEmpty():
-            merged = new
-            try:
-                old = spark.read.schema(new.schema).parquet(target)
-                # At most ``partitions`` rows; the table is read only where the batch touches it.
-                touched = new.select("part").distinct()
-                merged = latest(new.unionByName(old.join(touched, "part", "left_semi")))
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-            merged.write.mode("overwrite").parquet(staged)
+        schema = StructType(new.schema.fields).add("batch_id", "integer")
+        complete = _existing(spark, f"{staged}/_SUCCESS", schema) is not None
+        ready = complete and not _existing(spark, staged, schema).where(F.col("batch_id") == batch_id).isEmpty()
+        if not ready and not new.isEmpty():
+            stage(new, batch_id)
+            ready = True
+        if ready:
+            content = _existing(spark, staged, schema).drop("batch_id")
             (
-                spark.read.schema(merged.schema)
-                .parquet(staged)
-                .hint("rebalance", "part")
+                content.hint("rebalance", "part")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("part")
                 .parquet(target)
             )
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(staged)
         new.unpersist()
 
     return write

@@ -73,6 +73,19 @@ def test_upsert_keeps_the_latest_row(spark, root):
     assert rows(got) == [("a", 3, "y"), ("b", 5, "new"), ("c", 1, "w")]
 
 
+def test_upsert_survives_a_failure_in_the_swap(spark, root):
+    target = f"{root}/table"
+    write = sinks.upsert(target, ["k"], ["t"], partitions=1)
+    # Batch 1 staged its content, then died when the old partition was gone and the new one not yet there.
+    content = spark.createDataFrame([(0, "a", 2, 1), (0, "b", 1, 1)], "part int, k string, t int, batch_id int")
+    content.write.mode("overwrite").parquet(f"{target}__staged")
+    write(spark.createDataFrame([("a", 2)], "k string, t int"), 1)
+    assert rows(spark.read.parquet(target).select("k", "t")) == [("a", 2), ("b", 1)]
+    # The staged content is used up: the next batch starts from the table.
+    write(spark.createDataFrame([("b", 3)], "k string, t int"), 2)
+    assert rows(spark.read.parquet(target).select("k", "t")) == [("a", 2), ("b", 3)]
+
+
 def test_client_matches(spark, root):
     add_file(spark, root, "transactions", schemas.TRANSACTION_STREAM, [
         ("t1", "1", 10.0, at(10, 0)), ("t2", "1", 5.0, at(12, 0)), ("t3", "2", 1.0, at(10, 0)), ("t4", None, 1.0, at(10, 0)),
