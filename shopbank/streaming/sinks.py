@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -92,7 +92,7 @@ def upsert(target: str, key: Sequence[str], order: Sequence[str], partitions: in
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = latest(batch.withColumn("part", F.pmod(F.hash(*key), F.lit(partitions)))).persist()
-        schema = StructType(new.schema.fields).add("batch_id", "integer")
+        schema = StructType([*new.schema.fields, StructField("batch_id", IntegerType())])
         complete = _existing(spark, f"{staged}/_SUCCESS", schema) is not None
         ready = complete and not _existing(spark, staged, schema).where(F.col("batch_id") == batch_id).isEmpty()
         if not ready and not new.isEmpty():
