@@ -1,8 +1,10 @@
 """Daily bank reports: sales per client, loans, spending behaviour.
 
 The reports are Spark SQL over the frames handed in; the date is a named parameter. Every input is
-cut to the day by a half-open range on the raw timestamp column and summed per key before a join, so
-joins see at most one row per client or loan from each side.
+cut to the day by a half-open range on the raw timestamp column and summed per key before a join.
+Loans are joined as they are, and a client may hold a third of them: the sums beside them are grouped
+by key and day, one day being all there is, so that the join shuffles both its sides by the key alone
+and adaptive execution can split a hot one. A side that arrives grouped by the very join key cannot be.
 """
 
 from __future__ import annotations
@@ -59,12 +61,12 @@ with fees_by_loan as (
               when max(days_delayed) > 10 then 'Sometimes Forgets'
               else 'Pretty Good' end as payment_history
   from {fees}
-  group by loan_id
+  group by loan_id, date(fee_date)
 ),
 spending_by_client as (
   select client_id, sum(units) / 10000D as daily_spending
   from {sales}
-  group by client_id
+  group by client_id, date(transaction_date)
 ),
 terms as (
   select *,

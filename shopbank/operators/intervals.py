@@ -37,10 +37,17 @@ def days_in_windows(
     return dated.join(spread, [key, "week_start"]).where(inside).drop("_first", "_last", "week_start")
 
 
+def week_number(day: Column) -> Column:
+    """Number of the business week a day is in."""
+    return F.floor(F.unix_date(week_start(day)) / 7).cast("int")
+
+
 def days_covered(windows: DataFrame, first: str, last: str, key: str = "product_id") -> DataFrame:
     """The days inside any window, one row per key and week: ``days`` has bit 0 for its Wednesday, and so on.
 
-    A left join on (key, week) with this table cannot repeat a fact, however many windows overlap.
+    A left join on (key, ``week``) with this table cannot repeat a fact, however many windows overlap.
+    The week is numbered after the grouping by its date: the join then shuffles both its sides, which
+    adaptive execution needs in order to split a week that holds much of the facts.
     """
     spread = spread_over_weeks(windows.select(key, first, last), F.col(first), F.col(last))
     start = F.greatest(F.datediff(first, "week_start"), F.lit(0))
@@ -50,6 +57,7 @@ def days_covered(windows: DataFrame, first: str, last: str, key: str = "product_
         spread.select(key, "week_start", start.alias("start"), end.alias("stop"))
         .groupBy(key, "week_start")
         .agg(F.bit_or(bits).alias("days"))
+        .select(key, week_number(F.col("week_start")).alias("week"), "days")
     )
 
 

@@ -18,12 +18,15 @@ def next_products(
     top_categories: int = 3,
     per_category: int = 10,
     per_customer: int = 5,
+    salts: int = 32,
 ) -> DataFrame:
     """Popular products of each customer's favourite categories which the customer has not bought yet.
 
     The transactions are read and shuffled once, into units per customer and product; favourites,
     popularity and the exclusion all start from that table. Every limit is applied before the
-    shuffle of its ranking (row_number filters become group limits).
+    shuffle of its ranking (row_number filters become group limits). There are few categories and
+    many customers, so the customers of a category are spread over ``salts`` tasks, each with a copy
+    of the category's few popular products.
     """
     bought = (
         having(transactions, "customer_id", "product_id", "quantity")
@@ -47,8 +50,11 @@ def next_products(
     )
 
     # A left join with a null test keeps the units column, and with it the shared shuffle of ``bought``.
+    salted = favourites.withColumn("salt", F.pmod(F.hash("customer_id"), F.lit(salts)))
+    copies = popular.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     fresh = (
-        favourites.join(popular, "category")
+        salted.join(copies, ["category", "salt"])
+        .drop("salt")
         .join(bought, ["customer_id", "product_id"], "left")
         .where("units is null")
     )

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopbank.functions.calendar import week_start, within_year
+from shopbank.functions.calendar import within_year
 from shopbank.functions.money import from_units, to_units
 from shopbank.functions.rows import having
 from shopbank.operators.discounts import valid_discounts
-from shopbank.operators.intervals import days_covered, is_covered
+from shopbank.operators.intervals import days_covered, is_covered, week_number
 
 
 def priced_lines(transactions: DataFrame, year: int | None = None) -> DataFrame:
@@ -27,7 +27,7 @@ def _revenue_units() -> Column:
 
 def _with_discount_days(facts: DataFrame, day: Column, discounts: DataFrame) -> DataFrame:
     covered = days_covered(valid_discounts(discounts), "valid_from", "valid_to")
-    return facts.withColumn("week_start", week_start(day)).join(covered, ["product_id", "week_start"], "left")
+    return facts.withColumn("week", week_number(day)).join(covered, ["product_id", "week"], "left")
 
 
 def flagged_sales(transactions: DataFrame, discounts: DataFrame) -> DataFrame:
