@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shopbank.functions.bands import below
+
 # Keyword and category, tried in this order.
 KEYWORD_RULES = [
     ("detergent", "Curățenie"),
@@ -40,13 +42,9 @@ def category_by_keyword(name: Column, rules: Sequence[tuple[str, str]] = KEYWORD
     return F.coalesce(*[F.when(text.contains(word), F.lit(category)) for word, category in rules])
 
 
+# Upper age limits of the groups.
+AGE_GROUPS = [(18, "underage"), (25, "[18-25)"), (35, "[25-35)"), (50, "[35-50)"), (65, "[50-65)")]
+
+
 def age_group(age: Column) -> Column:
-    return (
-        F.when(age.isNull(), "unknown")
-        .when(age < 18, "underage")
-        .when(age < 25, "[18-25)")
-        .when(age < 35, "[25-35)")
-        .when(age < 50, "[35-50)")
-        .when(age < 65, "[50-65)")
-        .otherwise("65+")
-    )
+    return F.when(age.isNull(), "unknown").otherwise(below(age, AGE_GROUPS, "65+"))

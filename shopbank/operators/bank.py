@@ -1,7 +1,6 @@
 """Daily bank reports: sales per client, loans, spending behaviour.
 
-The reports are Spark SQL over the frames handed in; the date is a named parameter. Every input is
-cut to the day by a half-open range on the raw timestamp column and summed per key before a join.
+Every input is cut to the day by a half-open range on the raw timestamp column and summed per key before a join.
 Loans are joined as they are, and a client may hold a third of them: the sums beside them are grouped
 by key and day, one day being all there is, so that the join shuffles both its sides by the key alone
 and adaptive execution can split a hot one. A side that arrives grouped by the very join key cannot be.
@@ -11,9 +10,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopbank.functions.bands import above, at_least, at_most, below, points
 from shopbank.functions.calendar import as_date, on_day
 from shopbank.functions.money import exact_sum, from_units, to_units
 from shopbank.operators.quantiles import exact_quantiles
@@ -51,83 +51,53 @@ def sales_of_day(sales: DataFrame, day: date | str) -> DataFrame:
     )
 
 
-_LOANS = """
-with fees_by_loan as (
-  select loan_id,
-         count(*) as times_late,
-         sum(fee_units) / 10000D as fees_collected,
-         max(days_delayed) as max_days_late,
-         case when max(days_delayed) > 30 then 'Bad at Paying'
-              when max(days_delayed) > 10 then 'Sometimes Forgets'
-              else 'Pretty Good' end as payment_history
-  from {fees}
-  group by loan_id, date(fee_date)
-),
-spending_by_client as (
-  select client_id, sum(units) / 10000D as daily_spending
-  from {sales}
-  group by client_id, date(transaction_date)
-),
-terms as (
-  select *,
-         round(principal_amount * (interest_rate / 100) * (term_months / 12D), 2) as total_interest,
-         power(1 + interest_rate / 100 / 12, term_months) as growth
-  from {loans}
-),
-figures as (
-  select t.loan_id, t.client_id, t.loan_type, t.principal_amount, t.interest_rate, t.total_interest,
-         round(principal_amount * (interest_rate / 100 / 12 * growth) / (growth - 1), 2) as monthly_payment,
-         case when principal_amount < 10000 then 'Small Loan'
-              when principal_amount < 30000 then 'Medium Loan'
-              else 'Large Loan' end as loan_size,
-         case when interest_rate <= 5 then 'Low Rate'
-              when interest_rate <= 8 then 'Normal Rate'
-              else 'High Rate' end as rate_category,
-         coalesce(f.fees_collected, 0) as fees_collected,
-         t.total_interest + coalesce(f.fees_collected, 0) as total_revenue,
-         coalesce(f.times_late, 0) as times_late,
-         coalesce(f.max_days_late, 0) as max_days_late,
-         coalesce(f.payment_history, 'Always On Time') as payment_history,
-         coalesce(s.daily_spending, 0) as daily_spending,
-         case when s.daily_spending > 300 then 'Spends Lots'
-              when s.daily_spending > 100 then 'Spends Normal'
-              when s.daily_spending is not null then 'Saves Money'
-              else 'Unknown' end as client_type
-  from terms t
-  left join fees_by_loan f on f.loan_id = t.loan_id
-  left join spending_by_client s on s.client_id = t.client_id
-),
-ratios as (
-  select *,
-         round(total_revenue / principal_amount, 3) as profit_ratio,
-         round(try_divide(monthly_payment, daily_spending * 30) * 100, 1) as payment_burden_percent
-  from figures
-),
-scored as (
-  select *,
-         case payment_history when 'Bad at Paying' then 3 when 'Sometimes Forgets' then 1 else 0 end
-         + case rate_category when 'High Rate' then 3 when 'Normal Rate' then 1 else 0 end
-         + case when payment_burden_percent > 40 then 2 when payment_burden_percent > 25 then 1 else 0 end
-         + case loan_size when 'Large Loan' then 2 else 0 end as risk_score
-  from ratios
-)
-select :day as report_date, loan_id, client_id, loan_type, principal_amount, interest_rate, monthly_payment,
-       loan_size, rate_category, total_interest, fees_collected, total_revenue, profit_ratio, times_late,
-       max_days_late, payment_history, daily_spending, client_type, payment_burden_percent, risk_score,
-       case when risk_score >= 6 then 'Risky'
-            when risk_score >= 3 then 'Kinda Risky'
-            else 'Pretty Safe' end as risk_level,
-       case when profit_ratio >= 0.20 then 'Makes Lots of Money'
-            when profit_ratio >= 0.15 then 'Makes Good Money'
-            when profit_ratio >= 0.10 then 'Makes Some Money'
-            else 'Makes Little Money' end as profit_level,
-       case when profit_ratio >= 0.20 and payment_history in ('Always On Time', 'Pretty Good')
-              then 'Great Customer - Give Them More!'
-            when payment_history = 'Bad at Paying' and profit_ratio < 0.15 then 'Watch Out - Might Be Trouble'
-            when profit_ratio >= 0.15 then 'Good Loan - Keep It'
-            else 'Normal Loan' end as recommendation
-from scored
-"""
+# Fixed values of the loan report: thresholds with their labels, risk points of the labels.
+LOAN_SIZES = [(10_000, "Small Loan"), (30_000, "Medium Loan")]
+LARGE_LOAN = "Large Loan"
+RATE_CATEGORIES = [(5, "Low Rate"), (8, "Normal Rate")]
+HIGH_RATE = "High Rate"
+PAYMENT_HISTORIES = [(30, "Bad at Paying"), (10, "Sometimes Forgets")]
+GOOD_PAYER, NEVER_LATE = "Pretty Good", "Always On Time"
+CLIENT_TYPES = [(300, "Spends Lots"), (100, "Spends Normal")]
+SAVER, NO_SPENDING = "Saves Money", "Unknown"
+RISK_POINTS = {"Bad at Paying": 3, "Sometimes Forgets": 1, "High Rate": 3, "Normal Rate": 1, "Large Loan": 2}
+BURDEN_POINTS = [(40, 2), (25, 1)]
+RISK_LEVELS = [(6, "Risky"), (3, "Kinda Risky")]
+LOW_RISK = "Pretty Safe"
+PROFIT_LEVELS = [(0.20, "Makes Lots of Money"), (0.15, "Makes Good Money"), (0.10, "Makes Some Money")]
+LOW_PROFIT = "Makes Little Money"
+LOAN_COLUMNS = [
+    "report_date", "loan_id", "client_id", "loan_type", "principal_amount", "interest_rate", "monthly_payment",
+    "loan_size", "rate_category", "total_interest", "fees_collected", "total_revenue", "profit_ratio", "times_late",
+    "max_days_late", "payment_history", "daily_spending", "client_type", "payment_burden_percent", "risk_score",
+    "risk_level", "profit_level", "recommendation",
+]
+
+
+def _loan_terms(loans: DataFrame) -> DataFrame:
+    """Simple interest over the term, annuity payment, size and rate class."""
+    principal, months = F.col("principal_amount"), F.col("term_months")
+    monthly_rate = F.col("interest_rate") / 100 / 12
+    growth = F.pow(1 + monthly_rate, months)
+    return loans.withColumns(
+        {
+            "total_interest": F.round(principal * (F.col("interest_rate") / 100) * (months / 12), 2),
+            "monthly_payment": F.round(principal * (monthly_rate * growth) / (growth - 1), 2),
+            "loan_size": below(principal, LOAN_SIZES, LARGE_LOAN),
+            "rate_category": at_most(F.col("interest_rate"), RATE_CATEGORIES, HIGH_RATE),
+        }
+    )
+
+
+def _recommendation() -> Column:
+    ratio, history = F.col("profit_ratio"), F.col("payment_history")
+    good, great = ratio >= 0.15, ratio >= 0.20
+    return (
+        F.when(great & history.isin(NEVER_LATE, GOOD_PAYER), "Great Customer - Give Them More!")
+        .when(~good & (history == "Bad at Paying"), "Watch Out - Might Be Trouble")
+        .when(good, "Good Loan - Keep It")
+        .otherwise("Normal Loan")
+    )
 
 
 def daily_loan_analytics(loans: DataFrame, fees: DataFrame, sales: DataFrame, day: date | str) -> DataFrame:
@@ -141,14 +111,51 @@ def daily_loan_analytics(loans: DataFrame, fees: DataFrame, sales: DataFrame, da
     charged = (
         fees.where(on_day(F.col("fee_date"), day))
         .where("client_id is not null and loan_id is not null and fee_amount > 0")
-        .withColumn("fee_units", to_units(F.col("fee_amount")))
+        .groupBy("loan_id", F.to_date("fee_date"))
+        .agg(
+            F.count("*").alias("late"),
+            exact_sum(F.col("fee_amount")).alias("charged"),
+            F.max("days_delayed").alias("longest"),
+        )
+        .select("loan_id", "late", "charged", "longest", above(F.col("longest"), PAYMENT_HISTORIES, GOOD_PAYER).alias("payer"))
     )
-    return loans.sparkSession.sql(
-        _LOANS,
-        args={"day": as_date(day).isoformat()},
-        loans=started,
-        fees=charged,
-        sales=sales_of_day(sales, day),
+    spent = (
+        sales_of_day(sales, day)
+        .groupBy("client_id", F.to_date("transaction_date"))
+        .agg(from_units(F.sum("units")).alias("spent"))
+        .select("client_id", "spent", above(F.col("spent"), CLIENT_TYPES, SAVER).alias("spender"))
+    )
+    # Burden: payment as a share of thirty days of today's spending.
+    burden = F.round(F.try_divide(F.col("monthly_payment"), F.col("spent") * 30) * 100, 1)
+    score = points(F.col("payment_history"), RISK_POINTS) + points(F.col("rate_category"), RISK_POINTS)
+    score = score + points(F.col("loan_size"), RISK_POINTS) + above(F.col("payment_burden_percent"), BURDEN_POINTS, 0)
+    return (
+        _loan_terms(started)
+        .join(charged, "loan_id", "left")
+        .join(spent, "client_id", "left")
+        .withColumns(
+            {
+                "report_date": F.lit(as_date(day).isoformat()),
+                "times_late": F.coalesce("late", F.lit(0)),
+                "max_days_late": F.coalesce("longest", F.lit(0)),
+                "fees_collected": F.coalesce("charged", F.lit(0.0)),
+                "payment_history": F.coalesce("payer", F.lit(NEVER_LATE)),
+                "daily_spending": F.coalesce("spent", F.lit(0.0)),
+                "client_type": F.coalesce("spender", F.lit(NO_SPENDING)),
+                "payment_burden_percent": burden,
+            }
+        )
+        .withColumn("total_revenue", F.col("total_interest") + F.col("fees_collected"))
+        .withColumn("profit_ratio", F.round(F.col("total_revenue") / F.col("principal_amount"), 3))
+        .withColumn("risk_score", score)
+        .withColumns(
+            {
+                "risk_level": at_least(F.col("risk_score"), RISK_LEVELS, LOW_RISK),
+                "profit_level": at_least(F.col("profit_ratio"), PROFIT_LEVELS, LOW_PROFIT),
+                "recommendation": _recommendation(),
+            }
+        )
+        .select(*LOAN_COLUMNS)
     )
 
 
@@ -162,8 +169,10 @@ def loan_run_summary(report: DataFrame) -> DataFrame:
     return counts.withColumn("high_risk_percent", share)
 
 
-# The spending categories with a column of their own; all else is "other".
+# Fixed values of the spending report. All other categories, and none, are "other".
 SPENDING_CATEGORIES = ["groceries", "food", "entertainment", "shopping", "transport", "bills"]
+RISK_INDICATORS = [(0.8, "High Risk"), (0.5, "Medium Risk"), (0, "Low Risk")]
+NO_RATIO = "Unknown"
 
 
 def client_spending(sales: DataFrame, day: date | str) -> DataFrame:
@@ -195,71 +204,55 @@ def client_spending(sales: DataFrame, day: date | str) -> DataFrame:
     )
 
 
-_SPENDING = """
-with merchant_totals as (
-  select client_id, merchant, sum(units) as units
-  from {bought}
-  group by client_id, merchant
-),
-favourites as (
-  select client_id, merchant as favorite_merchant, units / 10000D as favorite_merchant_spending
-  from (select *, row_number() over (partition by client_id order by units desc, merchant) as place
-        from merchant_totals)
-  where place = 1
-),
-balances as (
-  select client_id,
-         sum(balance_units) / 10000D as total_opening_balance,
-         count(*) as account_count,
-         max(struct(opening_balance, account_type)).account_type as primary_account_type
-  from {accounts}
-  group by client_id
-),
-metrics as (
-  select c.* except (units, overall, quartiles),
-         f.favorite_merchant, f.favorite_merchant_spending,
-         b.total_opening_balance, b.account_count, b.primary_account_type,
-         c.overall.mean as avg_spending_all_clients,
-         c.overall.deviation as stddev_spending,
-         c.quartiles.q0 / 10000D as percentile_25,
-         c.quartiles.q1 / 10000D as percentile_75,
-         round(transaction_count / 24D, 2) as spending_frequency,
-         round(weekend_spending / nullif(total_spent, 0) * 100, 1) as weekend_ratio,
-         round((unique_merchants + unique_categories) / 2D, 1) as diversity_score,
-         round(total_spent / nullif(b.total_opening_balance, 0), 3) as spending_to_balance_ratio,
-         greatest(groceries_spent, food_spent, entertainment_spent, shopping_spent, transport_spent,
-                  bills_spent, other_spent) as max_category_spending
-  from {clients} c
-  left join favourites f on f.client_id = c.client_id
-  left join balances b on b.client_id = c.client_id
-)
-select :day as report_date, *,
-       case when total_spent > avg_spending_all_clients + stddev_spending then 'High Spender'
-            when total_spent > avg_spending_all_clients then 'Above Average'
-            when total_spent between percentile_25 and percentile_75 then 'Average'
-            else 'Low Spender' end as spending_tier,
-       case when total_spent > 2000 and diversity_score > 5 then 'VIP - High Value'
-            when weekend_ratio > 60 then 'Weekend Warrior'
-            when unique_merchants <= 3 and transaction_count > 8 then 'Routine Shopper'
-            when avg_transaction < 50 then 'Bargain Hunter'
-            when max_transaction > avg_transaction * 5 then 'Impulsive Buyer'
-            else 'Regular Customer' end as customer_segment,
-       case max_category_spending
-            when groceries_spent then 'groceries'
-            when food_spent then 'food'
-            when entertainment_spent then 'entertainment'
-            when shopping_spent then 'shopping'
-            when transport_spent then 'transport'
-            when bills_spent then 'bills'
-            else 'other' end as shopping_preference,
-       case when spending_to_balance_ratio > 0.8 then 'High Risk'
-            when spending_to_balance_ratio > 0.5 then 'Medium Risk'
-            when spending_to_balance_ratio > 0 then 'Low Risk'
-            else 'Unknown' end as risk_indicator,
-       case when morning_transactions > evening_transactions then 'Morning Person'
-            else 'Evening Person' end as time_preference
-from metrics
-"""
+def _favourite_merchants(bought: DataFrame) -> DataFrame:
+    totals = bought.groupBy("client_id", "merchant").agg(F.sum("units").alias("units"))
+    most = Window.partitionBy("client_id").orderBy(F.desc("units"), "merchant")
+    return (
+        totals.withColumn("place", F.row_number().over(most))
+        .where("place = 1")
+        .select(
+            "client_id",
+            F.col("merchant").alias("favorite_merchant"),
+            from_units(F.col("units")).alias("favorite_merchant_spending"),
+        )
+    )
+
+
+def _client_accounts(accounts: DataFrame, day: date | str) -> DataFrame:
+    """Accounts opened up to the day: balance, number, and the kind of the largest."""
+    opened = accounts.where(F.col("open_date") < F.date_add(F.lit(as_date(day)), 1))
+    largest = F.max(F.struct("opening_balance", "account_type"))
+    return (
+        opened.where("client_id is not null and opening_balance is not null")
+        .groupBy("client_id")
+        .agg(
+            exact_sum(F.col("opening_balance")).alias("total_opening_balance"),
+            F.count("*").alias("account_count"),
+            largest["account_type"].alias("primary_account_type"),
+        )
+    )
+
+
+def _segment() -> Column:
+    spent, mean = F.col("total_spent"), F.col("avg_transaction")
+    return (
+        F.when((spent > 2000) & (F.col("diversity_score") > 5), "VIP - High Value")
+        .when(F.col("weekend_ratio") > 60, "Weekend Warrior")
+        .when((F.col("unique_merchants") <= 3) & (F.col("transaction_count") > 8), "Routine Shopper")
+        .when(mean < 50, "Bargain Hunter")
+        .when(F.col("max_transaction") > mean * 5, "Impulsive Buyer")
+        .otherwise("Regular Customer")
+    )
+
+
+def _tier() -> Column:
+    spent, mean = F.col("total_spent"), F.col("avg_spending_all_clients")
+    return (
+        F.when(spent > mean + F.col("stddev_spending"), "High Spender")
+        .when(spent > mean, "Above Average")
+        .when(spent.between(F.col("percentile_25"), F.col("percentile_75")), "Average")
+        .otherwise("Low Spender")
+    )
 
 
 def daily_spending_analytics(sales: DataFrame, accounts: DataFrame, day: date | str) -> DataFrame:
@@ -270,19 +263,43 @@ def daily_spending_analytics(sales: DataFrame, accounts: DataFrame, day: date |
         F.struct(
             (from_units(F.sum("units")) / F.count("*")).alias("mean"),
             F.stddev_samp("total_spent").alias("deviation"),
-        ).alias("overall")
-    )
-    quartiles = exact_quantiles(totals, "units", [0.25, 0.75]).select(F.struct("*").alias("quartiles"))
-    opened = accounts.where(F.col("open_date") < F.date_add(F.lit(as_date(day)), 1)).where(
-        "client_id is not null and opening_balance is not null"
+        )
     )
-    return sales.sparkSession.sql(
-        _SPENDING,
-        args={"day": as_date(day).isoformat()},
-        bought=sales_of_day(sales, day).select("client_id", "merchant", "units"),
-        clients=clients.withColumns({"overall": overall.scalar(), "quartiles": quartiles.scalar()}),
-        accounts=opened.withColumn("balance_units", to_units(F.col("opening_balance"))),
+    quartiles = exact_quantiles(totals, "units", [0.25, 0.75]).select(F.struct("*"))
+    spent, balance = F.col("total_spent"), F.col("total_opening_balance")
+    by_category = [f"{c}_spent" for c in [*SPENDING_CATEGORIES, "other"]]
+    largest = F.col("max_category_spending")
+    preference = F.coalesce(*[F.when(F.col(f"{c}_spent") == largest, c) for c in SPENDING_CATEGORIES], F.lit("other"))
+    mornings = F.col("morning_transactions") > F.col("evening_transactions")
+    report = (
+        clients.withColumns({"overall": overall.scalar(), "quartiles": quartiles.scalar()})
+        .join(_favourite_merchants(sales_of_day(sales, day)), "client_id", "left")
+        .join(_client_accounts(accounts, day), "client_id", "left")
+        .withColumns(
+            {
+                "avg_spending_all_clients": F.col("overall.mean"),
+                "stddev_spending": F.col("overall.deviation"),
+                "percentile_25": from_units(F.col("quartiles.q0")),
+                "percentile_75": from_units(F.col("quartiles.q1")),
+                "spending_frequency": F.round(F.col("transaction_count") / 24, 2),
+                "weekend_ratio": F.round(F.try_divide("weekend_spending", "total_spent") * 100, 1),
+                "diversity_score": F.round((F.col("unique_merchants") + F.col("unique_categories")) / 2, 1),
+                "spending_to_balance_ratio": F.round(F.try_divide(spent, balance), 3),
+                "max_category_spending": F.greatest(*by_category),
+            }
+        )
+        .withColumns(
+            {
+                "spending_tier": _tier(),
+                "customer_segment": _segment(),
+                "shopping_preference": preference,
+                "risk_indicator": above(F.col("spending_to_balance_ratio"), RISK_INDICATORS, NO_RATIO),
+                "time_preference": F.when(mornings, "Morning Person").otherwise("Evening Person"),
+            }
+        )
+        .drop("units", "overall", "quartiles")
     )
+    return report.select(F.lit(as_date(day).isoformat()).alias("report_date"), "*")
 
 
 def spending_run_summary(report: DataFrame) -> DataFrame:
