@@ -3,7 +3,8 @@
 A join on the product alone, with the window as a residual, compares every fact of a product with
 every window of it and puts a hot product into one task. Here the windows are spread over the
 calendar weeks they touch (one week for the usual Wednesday-to-Tuesday discount), so that the join
-key is (product, week): an equi join whose hot product is split by week.
+key is (product, week): an equi join whose hot product is split by week. A window costs one row for
+each of its weeks, so callers that look at one period only should cut windows to it.
 """
 
 from __future__ import annotations
@@ -26,15 +27,12 @@ def days_in_windows(
     """Every fact joined with every window of its key that holds its day (both ends included).
 
     ``facts`` should already be reduced to one row per key and day, which leaves at most seven of
-    them under one join key. ``first`` and ``last`` are columns of ``windows``, which must not share
-    other names than the key with ``facts``.
+    them under one join key. ``first`` and ``last`` are expressions over ``windows``, which must not
+    share other names than the key with ``facts``.
     """
-    spread = spread_over_weeks(
-        windows.select("*", first.alias("_first"), last.alias("_last")), F.col("_first"), F.col("_last")
-    )
     dated = facts.withColumn("week_start", week_start(F.col(day)))
-    inside = F.col(day).between(F.col("_first"), F.col("_last"))
-    return dated.join(spread, [key, "week_start"]).where(inside).drop("_first", "_last", "week_start")
+    pairs = dated.join(spread_over_weeks(windows, first, last), [key, "week_start"])
+    return pairs.where(F.col(day).between(first, last)).drop("week_start")
 
 
 def week_number(day: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,12 +54,18 @@ def revenue_totals(transactions: DataFrame, discounts: DataFrame, year: int) ->
         .groupBy("product_id", F.to_date("transaction_date").alias("day"))
         .agg(_revenue_units().alias("revenue"))
     )
+    of_year = valid_discounts(discounts).withColumns(
+        {
+            "valid_from": F.greatest("valid_from", F.lit(date(year, 1, 1))),
+            "valid_to": F.least("valid_to", F.lit(date(year, 12, 31))),
+        }
+    )
     on_discount = is_covered(F.col("day"))
 
     def income(rows: Column) -> Column:
         return F.round(from_units(F.sum(F.when(rows, F.col("revenue")).otherwise(0))), 2)
 
-    return _with_discount_days(daily, F.col("day"), discounts).agg(
+    return _with_discount_days(daily, F.col("day"), of_year).agg(
         F.round(from_units(F.sum("revenue")), 2).alias("total_income"),
         income(~on_discount).alias("income_excl_discount"),
         income(on_discount).alias("income_only_discount"),
