@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopbank.llm import decontamination, mixing, near_dedup, quality, sharding
+from shopbank.llm import (
+    decontamination, language_id, license_scan, lm_scoring, mixing, near_dedup, quality, sharding, substring_dedup, token_counts,
+)
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,6 +23,11 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of all pages; the text models are counted over all documents."""
+    return language_id.identified(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shards of nearly equal bytes; the largest group of equal texts sets the least they can be."""
     rows = sharding.sharded(table(spark, folder, "documents"), shards=40)
@@ -28,6 +36,21 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scanned(table(spark, folder, "documents"))
+
+
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores against the documents that are labelled good and not toxic."""
+    good = table(spark, folder, "labels").where("quality = 1 and toxic = 0")
+    return lm_scoring.cross_entropy_difference(table(spark, folder, "documents"), good)
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), budget=2048)
+    return rows.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "fitting_chars")
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mixed(table(spark, folder, "documents"), weights=(5, 2, 1), most_repeats=3)
     return rows.select("doc_id", "size", "source_size", "target", (F.col("n_copies") * F.col("size")).alias("taken"))
@@ -37,6 +60,12 @@ def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.line_quality(table(spark, folder, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = substring_dedup.without_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span[1] - span[0])
+    return rows.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     hits = decontamination.benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return hits.select(
@@ -47,9 +76,14 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_language_id": op2_language_id,
     "op3_sharding": op3_sharding,
+    "op4_license_scan": op4_license_scan,
+    "op5_lm_scoring": op5_lm_scoring,
+    "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op8_line_quality": op8_line_quality,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -169,9 +203,28 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from texts left join words_hit using (r) left join items_hit using (r)
 """
 
+_SUBSTRING_DEDUP = rf"""
+with texts as (select row_number() over () as r, doc_id, {_WORDS} as words from documents),
+windows as (
+    select r, unnest(list_transform(range(1, len(words) - 33), lambda p: md5(array_to_string(words[p : p + 34], ' ')))) as name,
+           unnest(range(1, len(words) - 33)) as p
+    from texts where len(words) >= 35),
+repeated as (select name from windows group by name having count(*) > 1),
+removed as (
+    select distinct r, p + k as q
+    from windows join repeated using (name), (select unnest(range(0, 35)) as k)),
+places as (select r, doc_id, unnest(words) as word, generate_subscripts(words, 1) as q from texts),
+kept as (
+    select p.r, count(x.q)::bigint as n_removed, string_agg(word, ' ' order by p.q) filter (where x.q is null) as left_over
+    from places p left join removed x on p.r = x.r and p.q = x.q group by p.r)
+select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(left_over, '')) as kept_sha256
+from texts left join kept using (r)
+"""
+
 SQL: dict[str, str] = {
     "op1_near_dedup": _NEAR_DEDUP,
     "op7_mixing": _MIXING,
     "op8_line_quality": _QUALITY,
+    "op9_substring_dedup": _SUBSTRING_DEDUP,
     "op10_decontamination": _DECONTAMINATION,
 }
