@@ -292,6 +292,17 @@ class Vocabulary:
         return self.spec.value
 
 
+_COUNTERS: dict[int, PrefixCounter] = {}
+
+
+def counter_of(vocabulary: Vocabulary) -> PrefixCounter:
+    """One counter for each worker and broadcast vocabulary, kept from task to task."""
+    if vocabulary.id not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[vocabulary.id] = PrefixCounter(vocabulary.value)
+    return _COUNTERS[vocabulary.id]
+
+
 def token_counts(docs: DataFrame, path: str, budget: int) -> DataFrame:
     """For each document: bytes, tokens, and the length of the longest prefix that fits into the budget."""
     vocabulary = Vocabulary(docs, path)
