@@ -192,11 +192,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         _, _, wide, _, counts = window_questions(row, parts)
         return wide, counts > 1
 
-    asked = attach(blocks.select("block", "sizes", "texts"), answer(ask(blocks.select("block", "sizes", "texts"), symbol_keys, parts), seen_twice))
-    asked = stored(asked, "symbol-replies")
-    replies = answer(ask(asked, window_keys, parts), seen_twice_wide).withColumnRenamed("reply", "window_reply")
-    replies = replies.groupBy("block").agg(F.collect_list(F.struct("part", F.col("window_reply").alias("reply"))).alias("window_replies"))
-    rows = asked.join(blocks.select("block", "ids"), "block").join(replies, "block", "left")
+    texts = blocks.select("block", "sizes", "texts")
+    # Only answers are stored, a bit for each name; the texts stay where they are until they are joined to answers.
+    symbols = attach(blocks.select("block"), answer(ask(texts, symbol_keys, parts), seen_twice))
+    symbols = stored(symbols, "symbol-replies")
+    windows = answer(ask(texts.join(symbols, "block"), window_keys, parts), seen_twice_wide)
+    windows = windows.groupBy("block").agg(F.collect_list(F.struct("part", "reply")).alias("window_replies"))
+    rows = blocks.join(symbols.join(windows, "block", "left"), "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
