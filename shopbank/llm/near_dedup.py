@@ -9,10 +9,13 @@ differ in 35 codes on average; beyond 39 they still meet but for 8 in a million.
 How the pairs are handled, so that a group of any size stays cheap:
 
 - Keys are exchanged in packed blocks (``exchange``); only keys that two classes share become rows (key, class).
-- Stars: under each key all classes meet one pivot only. Each class tests the pivot it shares most keys with, on full
-  sets. Linked classes become one component; keys within one component are done. Further rounds take other pivots.
-- When no key with several components is large (or after ``STAR_ROUNDS``), all pairs left that share a key and lie in different
-  components are tested, those of hopelessly distant signatures aside. A link within a component can't change it.
+- Stars: under each key all classes meet one pivot only, the most central class. Each class tests the pivot it shares most keys
+  with, on full sets. Linked classes become one component; keys within one component are done.
+- Of the classes left under keys with several components, the shingles are counted that another such class has. Common shingles
+  are among these, which bounds the similarity of a pair from above and rules out, without testing them, classes that only
+  share a passage and copies edited too much. While keys of many classes stay, further stars take other pivots.
+- All pairs left that share a key, lie in different components and pass the bound are tested, those of hopelessly distant
+  signatures aside. A link within a component can't change it.
 
 So no link between different texts is lost, and the exact test on full sets decides every link used.
 
@@ -44,6 +47,8 @@ FAR = 70
 PERCENT = 75
 BLOCK_CLASSES = 4096
 STAR_ROUNDS, SMALL_KEY = 6, 32
+#: Classes with this share of shared shingles (in percent) take part in further stars; all others wait for the last step.
+HOPEFUL = 85
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A = np.array([int(factor(1000 + i)) & 0xFFFFFFFF | 1 for i in range(CODES)], np.uint32)
@@ -179,20 +184,70 @@ def not_far(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+SETS = pa.schema([("block", pa.int64()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("sets", pa.binary())])
+
+
+def shared_shingles(texts: DataFrame) -> DataFrame:
+    """Rows (node, size, shared): shingles of each class, and those among them that another of these classes has."""
+    spark = texts.sparkSession
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = Names()
+        for batch in batches:
+            nodes, own = batch.column(0).to_numpy(zero_copy_only=False), texts_of(batch.column(1))
+            for at in range(0, len(nodes), 1024):
+                sets = [shingles(t, names) for t in own[at : at + 1024]]
+                sizes = np.array([len(x) for x in sets], np.int64)
+                row = {"block": int(nodes[at]), "nodes": nodes[at : at + 1024].tobytes(), "sizes": sizes.tobytes()}
+                yield pa.RecordBatch.from_pylist([row | {"sets": np.concatenate(sets).tobytes()}], schema=SETS)
+
+    blocks = stored(texts.mapInArrow(pack, "block long, nodes binary, sizes binary, sets binary"), "class-sets")
+    parts = part_count(spark, blocks.agg(F.sum(F.octet_length("sets"))).first()[0] or 0)
+
+    def keys_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.unique(np.frombuffer(row["sets"], U64), return_counts=True)
+        return keys, counts > 1
+
+    out = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("shared", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                keys, inverse = np.unique(np.frombuffer(row["sets"], U64), return_inverse=True)
+                shared = replies_in_order(row, keys, parts, bool)[inverse]
+                sizes = np.frombuffer(row["sizes"], np.int64)
+                counts = np.add.reduceat(shared, np.cumsum(sizes) - sizes, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["nodes"], np.int64)), pa.array(sizes), pa.array(counts)], schema=out)
+
+    return attach(blocks, answer(ask(blocks, keys_of, parts), seen_twice)).mapInArrow(count, "node long, size long, shared long")
+
+
 def live_members(members: DataFrame, star: DataFrame, turn: int) -> DataFrame:
-    """Rows (key, node, root, pivot, pivot_root, n) of the keys whose classes lie in several components.
+    """``members`` of the keys whose classes lie in several components, with the columns root, pivot, pivot_root, n.
 
-    The pivot is the least class of a key, by numbers in which some bits are turned, other ones each round.
+    The pivot of a key is its most central class, the one that meets most classes under all its keys: of a text and its many
+    edited copies that is the text itself. Ties go by numbers in which some bits are turned, other ones each round.
     """
+    own = [c for c in members.columns if c not in ("root", "pivot", "pivot_root", "n")]
     roots = star.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    rooted = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    turned = F.col("node").bitwiseXOR(F.lit(int(factor(turn)) >> 1 if turn else 0))
-    keys = rooted.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"),
-        F.min(F.struct(turned, "node", "root")).alias("pivot"),
-    )
-    keys = keys.where("low < high").select("key", "n", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root"))
-    return stored(rooted.join(keys, "key"), "live-keys")
+    rooted = members.select(own).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    live = stored(rooted.join(keys.where("low < high").select("key", "n"), "key"), "live-members")
+    weights = live.groupBy("node").agg(F.sum("n").alias("weight"))
+    turned = F.col("node").bitwiseXOR(F.lit(int(factor(turn)) >> 1))
+    pivots = live.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", turned, "node", "root")).alias("pivot"))
+    pivots = pivots.select("key", F.col("pivot.node").alias("pivot"), F.col("pivot.root").alias("pivot_root"))
+    return stored(live.join(pivots, "key"), "live-keys")
+
+
+def star_round(members: DataFrame, star: DataFrame, tested: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each class tests the pivot it shares most keys with, if that is in another component. The new stars and tested pairs."""
+    met = members.where("root <> pivot_root").groupBy("node", "pivot").agg(F.count("*").alias("n"))
+    met = met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b"), "node", "n")
+    best = met.join(tested, ["a", "b"], "left_anti").groupBy("node").agg(F.max(F.struct("n", "a", "b")).alias("best"))
+    result = similar(best.select("best.a", "best.b").distinct(), texts)
+    return connected(star.unionByName(result.where("linked").select("a", "b"))), tested.unionByName(result.select("a", "b"))
 
 
 def components(classes: DataFrame, texts_of_nodes) -> DataFrame:
@@ -202,25 +257,25 @@ def components(classes: DataFrame, texts_of_nodes) -> DataFrame:
     """
     members = shared_keys(classes)
     texts = stored(texts_of_nodes(members.select("node").distinct()), "class-texts")
-    star = members.sparkSession.createDataFrame([], "a long, b long")
-    tested = star
-    for turn in range(STAR_ROUNDS + 1):
-        members = live_members(members, star, turn)
-        most = members.agg(F.max("n")).first()[0] or 0
-        if not most:
-            return star
-        if turn == STAR_ROUNDS or (turn and most <= SMALL_KEY):
+    nothing = members.sparkSession.createDataFrame([], "a long, b long")
+    members = live_members(members, nothing, 0)
+    star, tested = star_round(members, nothing, nothing, texts)
+    members = live_members(members, star, 1)
+    bounds = shared_shingles(texts.join(members.select("node").distinct(), "node", "left_semi"))
+    # A link's common shingles are three quarters of either set, and shared.
+    members = stored(members.join(bounds, "node").where(f"100 * shared >= {PERCENT} * size"), "live-bounds")
+    for turn in range(1, STAR_ROUNDS):
+        hopeful = live_members(members.where(f"100 * shared >= {HOPEFUL} * size"), star, turn)
+        if (hopeful.agg(F.max("n")).first()[0] or 0) <= SMALL_KEY:
             break
-        met = members.where("root <> pivot_root").groupBy("node", "pivot").agg(F.count("*").alias("n"))
-        met = met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b"), "node", "n")
-        best = met.join(tested, ["a", "b"], "left_anti").groupBy("node").agg(F.max(F.struct("n", "a", "b")).alias("best"))
-        result = similar(best.select("best.a", "best.b").distinct(), texts)
-        tested = tested.unionByName(result.select("a", "b"))
-        star = connected(star.unionByName(result.where("linked").select("a", "b")))
-    left = members.select("key", "node", "root")
-    right = left.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
-    pairs = left.withColumnRenamed("node", "a").join(right, "key").where("a > b and root <> other").select("a", "b").distinct()
-    pairs = not_far(pairs.join(tested, ["a", "b"], "left_anti"), classes)
+        star, tested = star_round(hopeful, star, tested, texts)
+    members = live_members(members, star, STAR_ROUNDS)
+    left = members.select("key", F.col("node").alias("a"), "root", "size", "shared")
+    right = members.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
+    common = F.least("shared", "shared_b")
+    possible = 100 * common >= PERCENT * (F.col("size") + F.col("size_b") - common)
+    pairs = left.join(right, "key").where((F.col("a") > F.col("b")) & (F.col("root") != F.col("root_b")) & possible)
+    pairs = not_far(pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), classes)
     return connected(star.unionByName(similar(pairs, texts).where("linked").select("a", "b")))
 
 
