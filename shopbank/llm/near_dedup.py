@@ -13,7 +13,7 @@ How the pairs are handled, so that a group of any size stays cheap:
   with, on full sets. Linked classes become one component; keys within one component are done.
 - Of the classes left under keys with several components, the shingles are counted that another such class has. Common shingles
   are among these, which bounds the similarity of a pair from above and rules out, without testing them, classes that only
-  share a passage and copies edited too much. While keys of many classes stay, further stars take other pivots.
+  share a passage and copies edited too much (``last_pairs``). While keys of many classes stay, further stars take other pivots.
 - All pairs left that share a key, lie in different components and pass the bound are tested, those of hopelessly distant
   signatures aside. A link within a component can't change it.
 
@@ -29,13 +29,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopbank.llm.components import connected
-from shopbank.llm.exchange import answer, ask, attach, part_count, replies_in_order, seen_twice
+from shopbank.llm.exchange import answer, ask, attach, part_count, replies_in_order, seen_twice, times_seen
 from shopbank.llm.scratch import stored
 from shopbank.llm.words import U64, Names, factor, mixed, texts_of, window_names
 
@@ -49,6 +50,12 @@ BLOCK_CLASSES = 4096
 STAR_ROUNDS, SMALL_KEY = 6, 32
 #: Classes with this share of shared shingles (in percent) take part in further stars; all others wait for the last step.
 HOPEFUL = 85
+#: A further star is made only if this part of the last one's tests were links.
+WORTH = 0.1
+#: Classes of one key that are compared at a time.
+KEY_BLOCK = 2048
+#: A shingle of more classes than this is a frequent one.
+RARE = 16
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A = np.array([int(factor(1000 + i)) & 0xFFFFFFFF | 1 for i in range(CODES)], np.uint32)
@@ -185,10 +192,12 @@ def not_far(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 SETS = pa.schema([("block", pa.int64()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("sets", pa.binary())])
+COUNTED = pa.schema([(c, pa.int64()) for c in ("node", "size", "shared", "frequent", "shingle")])
 
 
-def shared_shingles(texts: DataFrame) -> DataFrame:
-    """Rows (node, size, shared): shingles of each class, and those among them that another of these classes has."""
+def shingle_counts(texts: DataFrame, with_rare: bool = False) -> DataFrame:
+    """Rows (node, size, shared, frequent, shingle): shingles of each class, those of them that another of these classes has, and those
+    that more than ``RARE`` of them have. With ``with_rare``, a row with null counts for each other shared shingle of a class."""
     spark = texts.sparkSession
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,21 +215,101 @@ def shared_shingles(texts: DataFrame) -> DataFrame:
 
     def keys_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = np.unique(np.frombuffer(row["sets"], U64), return_counts=True)
-        return keys, counts > 1
-
-    out = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("shared", pa.int64())])
+        return keys, counts.astype(np.uint32)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                keys, inverse = np.unique(np.frombuffer(row["sets"], U64), return_inverse=True)
-                shared = replies_in_order(row, keys, parts, bool)[inverse]
-                sizes = np.frombuffer(row["sizes"], np.int64)
-                counts = np.add.reduceat(shared, np.cumsum(sizes) - sizes, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["nodes"], np.int64)), pa.array(sizes), pa.array(counts)], schema=out)
-
-    return attach(blocks, answer(ask(blocks, keys_of, parts), seen_twice)).mapInArrow(count, "node long, size long, shared long")
+                own = np.frombuffer(row["sets"], U64)
+                keys, inverse = np.unique(own, return_inverse=True)
+                times = replies_in_order(row, keys, parts, np.uint8)[inverse]
+                nodes, sizes = np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["sizes"], np.int64)
+                begins = np.cumsum(sizes) - sizes
+                sums = [np.add.reduceat(mask, begins, dtype=np.int64) for mask in (times > 1, times > RARE)]
+                none = pa.nulls(len(nodes), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sizes), *map(pa.array, sums), none], schema=COUNTED)
+                if with_rare:
+                    rare = (times > 1) & (times <= RARE)
+                    none = pa.nulls(int(rare.sum()), pa.int64())
+                    rows = [pa.array(np.repeat(nodes, sizes)[rare]), none, none, none, pa.array(own[rare].view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(rows, schema=COUNTED)
+
+    counted = attach(blocks, answer(ask(blocks, keys_of, parts), times_seen))
+    return counted.mapInArrow(count, "node long, size long, shared long, frequent long, shingle long")
+
+
+def bounded_pairs(left: DataFrame, right: DataFrame, on: str, most_common) -> DataFrame:
+    """Pairs a > b of rows (``on``, node, root, size, ...) in different components that can be similar enough with so many common shingles."""
+    x, y = left.alias("x"), right.alias("y")
+    common = most_common("x", "y")
+    possible = 100 * common >= PERCENT * (F.col("x.size") + F.col("y.size") - common)
+    apart = (F.col(f"x.{on}") == F.col(f"y.{on}")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    return x.join(y, apart & possible)
+
+
+def pairs_of_large_keys(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) within a key in different components that their frequent shingles alone allow, each pair under one key only.
+
+    That is the first key, in chunk order, that the two signatures share. Members of a key are compared in pairs of blocks of about
+    ``KEY_BLOCK`` classes, so a task holds two blocks; only pairs that pass leave it.
+    """
+    blocks = F.ceil(F.col("n") / KEY_BLOCK).cast("int")
+    rows = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("blocks", "other", "n")
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        codes = np.frombuffer(b"".join(group["signature"]), np.uint8).reshape(-1, CODES)
+        place = int(np.flatnonzero(index_keys(group["signature"].iloc[0])[0] == U64(int(group["key"].iloc[0]) % (1 << 64)))[0])
+        chunk, left_out = divmod(place, CHUNK)
+        node, root, size, frequent, own = (group[c].to_numpy(np.int64) for c in ("node", "root", "size", "frequent", "own"))
+        low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        out = []
+        for at in range(0, len(left), 256):
+            i = left[at : at + 256, None]
+            common = np.minimum(frequent[i], frequent[right])
+            possible = (100 * common >= PERCENT * (size[i] + size[right] - common)) & (root[i] != root[right])
+            if low == high:
+                possible &= node[i] > node[right]
+            x, y = np.nonzero(possible)
+            x, y = left[at + x], right[y]
+            for k in range(0, len(x), 8192):
+                a, b = x[k : k + 8192], y[k : k + 8192]
+                differ = (codes[a] != codes[b]).reshape(-1, CHUNKS, CHUNK)
+                shared = differ.sum(axis=2) <= 1
+                first = shared.argmax(axis=1) == chunk
+                first &= differ[:, chunk].argmax(axis=1) == left_out
+                out.append(np.stack((np.maximum(node[a], node[b])[first], np.minimum(node[a], node[b])[first]), axis=1))
+        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
+
+    return rows.groupBy("key", "low", "high").applyInPandas(run, "a long, b long")
+
+
+def last_pairs(members: DataFrame, texts: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a key, lie in different components and may be linked; a superset of the links there are.
+
+    Common shingles of two classes are at most the lesser of their shared counts. Under keys of many classes that is not sharp enough: edited
+    copies of one text all share its shingles and, here and there, an edit. There the shingles are told apart by how many classes have
+    them: a pair has at most the lesser of its frequent counts in common, and the rare ones that both have, found by a join on these.
+    """
+    columns = ["node", "root", "size", "shared"]
+    small = members.where(F.col("n") <= SMALL_KEY).select("key", *columns)
+    pairs = bounded_pairs(small, small, "key", lambda x, y: F.least(f"{x}.shared", f"{y}.shared")).select("x.node", "y.node").toDF("a", "b")
+    large = members.where(F.col("n") > SMALL_KEY).select("key", "node", "root", "n")
+    if large.isEmpty():
+        return pairs.distinct()
+    nodes = large.select("node", "root").distinct()
+    counted = stored(shingle_counts(texts.join(nodes, "node", "left_semi"), with_rare=True), "shingle-counts")
+    sizes = nodes.join(counted.where("size is not null").select("node", "size", "frequent"), "node")
+    frequent = pairs_of_large_keys(large.join(sizes.drop("root"), "node").join(signatures, "node"))
+    rare = counted.where("shingle is not null").select("shingle", "node").join(sizes, "node")
+    met = bounded_pairs(rare, rare, "shingle", lambda x, y: F.least(f"{x}.size", f"{y}.size"))
+    met = met.groupBy("x.node", "y.node", "x.size", "y.size", "x.frequent", "y.frequent").agg(F.count("*").alias("c"))
+    met = met.toDF("a", "b", "m", "n", "f", "g", "c").withColumn("common", F.least("f", "g") + F.col("c"))
+    met = met.where(100 * F.col("common") >= PERCENT * (F.col("m") + F.col("n") - F.col("common"))).select("a", "b")
+    return pairs.unionByName(frequent).unionByName(met).distinct()
 
 
 def live_members(members: DataFrame, star: DataFrame, turn: int) -> DataFrame:
@@ -241,13 +330,18 @@ def live_members(members: DataFrame, star: DataFrame, turn: int) -> DataFrame:
     return stored(live.join(pivots, "key"), "live-keys")
 
 
-def star_round(members: DataFrame, star: DataFrame, tested: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each class tests the pivot it shares most keys with, if that is in another component. The new stars and tested pairs."""
+def star_round(members: DataFrame, star: DataFrame, tested: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, float]:
+    """Each class tests the pivot it shares most keys with, if that is in another component.
+
+    The new stars and tested pairs, and which part of this round's tests were links.
+    """
     met = members.where("root <> pivot_root").groupBy("node", "pivot").agg(F.count("*").alias("n"))
     met = met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b"), "node", "n")
     best = met.join(tested, ["a", "b"], "left_anti").groupBy("node").agg(F.max(F.struct("n", "a", "b")).alias("best"))
     result = similar(best.select("best.a", "best.b").distinct(), texts)
-    return connected(star.unionByName(result.where("linked").select("a", "b"))), tested.unionByName(result.select("a", "b"))
+    part = result.agg(F.avg(F.col("linked").cast("int"))).first()[0] or 0.0
+    star = connected(star.unionByName(result.where("linked").select("a", "b")))
+    return star, tested.unionByName(result.select("a", "b")), part
 
 
 def components(classes: DataFrame, texts_of_nodes) -> DataFrame:
@@ -259,23 +353,20 @@ def components(classes: DataFrame, texts_of_nodes) -> DataFrame:
     texts = stored(texts_of_nodes(members.select("node").distinct()), "class-texts")
     nothing = members.sparkSession.createDataFrame([], "a long, b long")
     members = live_members(members, nothing, 0)
-    star, tested = star_round(members, nothing, nothing, texts)
+    star, tested, part = star_round(members, nothing, nothing, texts)
     members = live_members(members, star, 1)
-    bounds = shared_shingles(texts.join(members.select("node").distinct(), "node", "left_semi"))
+    bounds = shingle_counts(texts.join(members.select("node").distinct(), "node", "left_semi")).select("node", "size", "shared")
     # A link's common shingles are three quarters of either set, and shared.
     members = stored(members.join(bounds, "node").where(f"100 * shared >= {PERCENT} * size"), "live-bounds")
     for turn in range(1, STAR_ROUNDS):
+        if part < WORTH:
+            break
         hopeful = live_members(members.where(f"100 * shared >= {HOPEFUL} * size"), star, turn)
         if (hopeful.agg(F.max("n")).first()[0] or 0) <= SMALL_KEY:
             break
-        star, tested = star_round(hopeful, star, tested, texts)
-    members = live_members(members, star, STAR_ROUNDS)
-    left = members.select("key", F.col("node").alias("a"), "root", "size", "shared")
-    right = members.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
-    common = F.least("shared", "shared_b")
-    possible = 100 * common >= PERCENT * (F.col("size") + F.col("size_b") - common)
-    pairs = left.join(right, "key").where((F.col("a") > F.col("b")) & (F.col("root") != F.col("root_b")) & possible)
-    pairs = not_far(pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), classes)
+        star, tested, part = star_round(hopeful, star, tested, texts)
+    pairs = last_pairs(live_members(members, star, STAR_ROUNDS), texts, classes.select("node", "signature"))
+    pairs = not_far(pairs.join(tested, ["a", "b"], "left_anti"), classes)
     return connected(star.unionByName(similar(pairs, texts).where("linked").select("a", "b")))
 
 
