@@ -65,6 +65,8 @@ def language_model(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the log probability of each symbol after two others in each."""
     rows = language_counts(labelled).toPandas()
     languages = sorted(rows["lang"].unique())
+    if not languages:
+        return [], np.zeros((0, SYMBOLS**ORDER), np.float32)
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"{len(languages)} languages; the model holds {MOST_LANGUAGES}")
     counts = np.full((len(languages), SYMBOLS**ORDER), 0.1, np.float32)
@@ -139,7 +141,7 @@ def identified(pages: DataFrame, labelled: DataFrame) -> DataFrame:
         return F.coalesce((F.col("vote") == i).cast("double"), F.lit(0.0))
 
     def others(votes: Column, i: int) -> Column:
-        return F.coalesce(votes[i], F.lit(0)) - own(i)
+        return F.coalesce(F.get(votes, F.lit(i)), F.lit(0)) - own(i)
 
     def count(votes: Column) -> Column:
         return F.aggregate(F.coalesce(votes, F.array(F.lit(0).cast("long"))), F.lit(0.0), lambda a, x: a + x) - F.col("vote").isNotNull().cast("double")
@@ -155,6 +157,6 @@ def identified(pages: DataFrame, labelled: DataFrame) -> DataFrame:
     names = F.array(*map(F.lit, languages))
     mass = F.aggregate("posterior", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("most")))
     return joined.select(
-        "page_id", "host", "suffix", "declared", names[F.col("vote")].alias("text_language"),
-        names[F.array_position("posterior", F.col("most")).cast("int") - 1].alias("language"), (F.lit(1.0) / mass).alias("confidence"),
+        "page_id", "host", "suffix", "declared", F.get(names, F.col("vote")).alias("text_language"),
+        F.get(names, F.array_position("posterior", F.col("most")).cast("int") - 1).alias("language"), (F.lit(1.0) / mass).alias("confidence"),
     )
