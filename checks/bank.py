@@ -93,7 +93,7 @@ balances as (
     max(struct_pack(b := opening_balance, t := account_type)).t as primary_account_type
   from accounts where open_date < timestamp '{DAY}' + interval 1 day group by 1),
 overall as (
-  select sum(cast(floor(total_spent * 10000 + 0.5) as bigint)) / 1e4 / count(*) as avg_spending_all_clients,
+  select {total('total_spent')} / count(*) as avg_spending_all_clients,
     stddev_samp(total_spent) as stddev_spending, quantile_cont(total_spent, 0.25) as percentile_25,
     quantile_cont(total_spent, 0.75) as percentile_75
   from clients),

@@ -14,9 +14,9 @@ day_sum = "cast(sum(quantity) as bigint)"
 
 
 def total(amount: str, where: str | None = None) -> str:
-    """Exact sum of money, as the library adds it: whole units of 1/10,000."""
+    """Sum of money: the digits each amount is printed with, added as decimals. No rounding before the report's own."""
     rows = f" filter (where {where})" if where else ""
-    return f"(sum(cast(floor(({amount}) * 10000 + 0.5) as bigint)){rows} / 1e4)"
+    return f"cast(sum(cast(cast(cast({amount} as double) as varchar) as decimal(38, 10))){rows} as double)"
 
 
 def rounded(value: str, digits: int) -> str:

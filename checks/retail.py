@@ -72,12 +72,10 @@ ends as (
 LAGGED = f"""lagged as (
   select product_id, price, lag(price) over (partition by product_id order by valid_date, price) as prev
   from prices where {in_year('valid_date')})"""
-GRID = f"""days as (
-  select cast(unnest(generate_series(date '{START}', date '{END}', interval 1 day)) as date) as valid_date),
+GRID = """days as (
+  select cast(unnest(generate_series(min(valid_date), max(valid_date), interval 1 day)) as date) as valid_date from prices),
 grid as (select product_id, valid_date from products cross join days),
-per_day as (select product_id, valid_date, max(price) as price from prices group by all),
-carried as (
-  select product_id, arg_max(price, valid_date) as price from per_day where valid_date < date '{START}' group by 1)"""
+per_day as (select product_id, valid_date, max(price) as price from prices group by all)"""
 YEAR_LINES = f"lines as (select *, cast(transaction_date as date) as the_date from transactions where {in_year('transaction_date')})"
 FLAGGED = """covered as (
   select distinct product_id, cast(unnest(generate_series(valid_from, valid_to, interval 1 day)) as date) as day
@@ -90,10 +88,10 @@ SPENT = total("quantity * unit_price_at_purchase")
 
 def taxed(where: str) -> str:
     return f"""sold as (
-  select product_id, sum(cast(floor(quantity * unit_price_at_purchase * 10000 + 0.5) as bigint)) as revenue
+  select product_id, {total('quantity * unit_price_at_purchase')} as revenue
   from transactions where {where} group by 1),
 taxed as (
-  select revenue, cast(floor(cast(revenue as double) * tva_rate / (tva_rate + 1) + 0.5) as bigint) as tva
+  select revenue, revenue * tva_rate / (tva_rate + 1) as tva
   from sold join products using (product_id))"""
 
 
@@ -143,13 +141,13 @@ select customer_id, first_name, last_name, birth_date, email, phone_number,
   json_extract_string(fidelity_card, '$.issue_date') as card_issue_date,
   json_extract_string(fidelity_card, '$.type') as card_type
 from customers"""),
-    Check("missing_prices", lambda v: prices.missing_prices(v.prices, v.products, START, END), f"""
+    Check("missing_prices", lambda v: prices.missing_prices(v.prices, v.products), f"""
 with {GRID} select product_id, valid_date from grid anti join per_day using (product_id, valid_date)"""),
-    Check("prices_filled", lambda v: prices.filled_prices(v.prices, v.products, START, END), f"""
+    Check("prices_filled", lambda v: prices.filled_prices(v.prices, v.products), f"""
 with {GRID}
 select g.product_id, g.valid_date, p.price,
-  coalesce(last_value(p.price ignore nulls) over (partition by g.product_id order by g.valid_date), c.price) as price_filled
-from grid g left join per_day p using (product_id, valid_date) left join carried c on c.product_id = g.product_id"""),
+  last_value(p.price ignore nulls) over (partition by g.product_id order by g.valid_date) as price_filled
+from grid g left join per_day p using (product_id, valid_date)"""),
     # Price changes
     Check("frequent_price_changes", lambda v: prices.frequent_price_changes(v.prices, YEAR), f"""
 with {LAGGED} select product_id, count(*) as change_count from lagged where price <> prev group by 1"""),
@@ -206,7 +204,7 @@ select distinct category from products where category in ('PROMO', 'SMALL')"""),
     # Discounts
     Check("avg_discount_per_week", lambda v: discounts.avg_discount_per_week(v.discounts), f"""
 select valid_from as week_start,
-  {rounded('sum(cast(floor(discount_percentage * 1000000 + 0.5) as bigint)) / 1e6 / count(*)', 4)} as avg_discount_pct
+  {rounded(total('discount_percentage') + ' / count(*)', 4)} as avg_discount_pct
 from discounts group by 1"""),
     Check("discounts_per_category", lambda v: discounts.discounts_per_category(v.discounts, v.products, YEAR), f"""
 select category, count(*) as discount_events from discounts join products using (product_id)
@@ -399,14 +397,14 @@ from flagged where {in_year('transaction_date')}"""),
 with {YEAR_LINES} select cast(month(the_date) as int) as month, {rounded(SPENT, 2)} as monthly_income
 from lines group by 1"""),
     Check("tax_total", lambda v: revenue.tax_total(v.transactions, v.products, YEAR), f"""
-with {taxed(in_year('transaction_date'))} select {rounded('sum(tva) / 1e4', 2)} as total_tva_{YEAR} from taxed"""),
+with {taxed(in_year('transaction_date'))} select {rounded(total('tva'), 2)} as total_tva_{YEAR} from taxed"""),
     Check(
         "tax_refundable_legal",
         lambda v: revenue.tax_refundable_legal(v.transactions, v.products, v.customers, YEAR),
         f"""
 with {taxed(in_year('transaction_date') + " and customer_id in (select customer_id from customers "
             "where customer_type = 'persoana_juridica')")}
-select {rounded('sum(revenue) / 1e4', 2)} as legal_entities_revenue, {rounded('sum(tva) / 1e4', 2)} as refundable_tva
+select {rounded(total('revenue'), 2)} as legal_entities_revenue, {rounded(total('tva'), 2)} as refundable_tva
 from taxed"""),
     # Recommendations
     Check("next_products", lambda v: recommend.next_products(v.transactions, v.products), """

@@ -86,7 +86,7 @@ class Views:
     @property
     def discounts(self) -> DataFrame:
         week = "next_day(date_sub(cast(l_shipdate as date), 7), 'Wed')"
-        return self.table("lineitem").where("l_discount > 0").selectExpr(
+        return self.table("lineitem").selectExpr(
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey) as discount_id",
             "cast(l_partkey as string) as product_id",
             "l_discount as discount_percentage",
@@ -240,7 +240,7 @@ VIEW_SQL = {
         select concat_ws('-', l_orderkey, l_linenumber, l_partkey) as discount_id,
           cast(l_partkey as varchar) as product_id, l_discount as discount_percentage,
           {wednesday(_SHIPPED)} as valid_from, cast({wednesday(_SHIPPED)} + 6 as date) as valid_to
-        from lineitem where l_discount > 0""",
+        from lineitem""",
     "transactions": """
         select cast(o_orderkey as varchar) as transaction_id, cast(o_custkey as varchar) as customer_id,
           cast(l_partkey as varchar) as product_id, cast(l_quantity as int) as quantity,

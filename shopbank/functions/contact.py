@@ -13,14 +13,12 @@ CARRIER_BY_PREFIX = {
     "0735": "Telekom", "0736": "Telekom",
 }
 
-# Street kinds, and the letters a street name may hold.
-STREET_TYPES = ["Str\\.", "Strada", "Bd\\.", "Bulevardul", "Calea", "Aleea", "Splaiul"]
-STREET_LETTERS = "A-Za-zĂÂÎȘȚăâîșț\\- "
+# The street grammar. Kinds of streets, and a kind with the name behind it up to a comma, "nr." or a number.
+STREET_KINDS = "Str\\.|Strada|Bd\\.|Bulevardul|Calea|Aleea|Splaiul"
+STREET_NAME = f"(?:{STREET_KINDS})\\s+([A-Za-zĂÂÎȘȚăâîșț\\- ]+?)(?=\\s*,|\\s*nr\\.|\\s+\\d)"
 
 CARD_SCHEMA = "card_id string, issue_date string, type string"
 
-_KINDS = "|".join(STREET_TYPES)
-
 
 def _digits(raw: Column) -> Column:
     return F.regexp_replace(raw, "[^0-9]", "")
@@ -43,12 +41,11 @@ def has_country_prefix(phone: Column) -> Column:
 
 
 def street_type(address: Column) -> Column:
-    return F.regexp_extract(address, f"({_KINDS})", 1)
+    return F.regexp_extract(address, f"({STREET_KINDS})", 1)
 
 
 def street_name(address: Column) -> Column:
-    pattern = f"(?:{_KINDS})\\s+([{STREET_LETTERS}]+?)(?=\\s*,|\\s*nr\\.|\\s+\\d)"
-    return F.trim(F.regexp_extract(address, pattern, 1))
+    return F.trim(F.regexp_extract(address, STREET_NAME, 1))
 
 
 def street_number(address: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shopbank.functions.bands import above, at_least, at_most, below, points
 from shopbank.functions.calendar import as_date, on_day
-from shopbank.functions.money import exact_sum, from_units, to_units
+from shopbank.functions.money import exact_sum, from_exact, to_exact
 from shopbank.operators.quantiles import exact_quantiles
 
 
@@ -42,16 +42,16 @@ def daily_sales(sales: DataFrame, accounts: DataFrame, day: date | str) -> DataF
 
 
 def sales_of_day(sales: DataFrame, day: date | str) -> DataFrame:
-    """Positive sales of the day, categories in lower case, amounts also in exact units."""
+    """Positive sales of the day, categories in lower case, amounts also as exact decimals."""
     return (
         sales.where(on_day(F.col("transaction_date"), day))
         .where("client_id is not null and amount > 0")
         .withColumn("category", F.lower("category"))
-        .withColumn("units", to_units(F.col("amount")))
+        .withColumn("exact", to_exact(F.col("amount")))
     )
 
 
-# Fixed values of the loan report: thresholds with their labels, risk points of the labels.
+# Fixed values of the loan report: thresholds with their labels, and the risk points of each rule apart.
 LOAN_SIZES = [(10_000, "Small Loan"), (30_000, "Medium Loan")]
 LARGE_LOAN = "Large Loan"
 RATE_CATEGORIES = [(5, "Low Rate"), (8, "Normal Rate")]
@@ -60,7 +60,9 @@ PAYMENT_HISTORIES = [(30, "Bad at Paying"), (10, "Sometimes Forgets")]
 GOOD_PAYER, NEVER_LATE = "Pretty Good", "Always On Time"
 CLIENT_TYPES = [(300, "Spends Lots"), (100, "Spends Normal")]
 SAVER, NO_SPENDING = "Saves Money", "Unknown"
-RISK_POINTS = {"Bad at Paying": 3, "Sometimes Forgets": 1, "High Rate": 3, "Normal Rate": 1, "Large Loan": 2}
+HISTORY_POINTS = {"Bad at Paying": 3, "Sometimes Forgets": 1}
+RATE_POINTS = {"High Rate": 3, "Normal Rate": 1}
+SIZE_POINTS = {"Large Loan": 2}
 BURDEN_POINTS = [(40, 2), (25, 1)]
 RISK_LEVELS = [(6, "Risky"), (3, "Kinda Risky")]
 LOW_RISK = "Pretty Safe"
@@ -122,13 +124,13 @@ def daily_loan_analytics(loans: DataFrame, fees: DataFrame, sales: DataFrame, da
     spent = (
         sales_of_day(sales, day)
         .groupBy("client_id", F.to_date("transaction_date"))
-        .agg(from_units(F.sum("units")).alias("spent"))
+        .agg(from_exact(F.sum("exact")).alias("spent"))
         .select("client_id", "spent", above(F.col("spent"), CLIENT_TYPES, SAVER).alias("spender"))
     )
     # Burden: payment as a share of thirty days of today's spending.
     burden = F.round(F.try_divide(F.col("monthly_payment"), F.col("spent") * 30) * 100, 1)
-    score = points(F.col("payment_history"), RISK_POINTS) + points(F.col("rate_category"), RISK_POINTS)
-    score = score + points(F.col("loan_size"), RISK_POINTS) + above(F.col("payment_burden_percent"), BURDEN_POINTS, 0)
+    score = points(F.col("payment_history"), HISTORY_POINTS) + points(F.col("rate_category"), RATE_POINTS)
+    score = score + points(F.col("loan_size"), SIZE_POINTS) + above(F.col("payment_burden_percent"), BURDEN_POINTS, 0)
     return (
         _loan_terms(started)
         .join(charged, "loan_id", "left")
@@ -182,15 +184,15 @@ def client_spending(sales: DataFrame, day: date | str) -> DataFrame:
     weekend = F.dayofweek("transaction_date").isin(1, 7)
 
     def spent(rows=None):
-        units = F.col("units") if rows is None else F.when(rows, F.col("units")).otherwise(0)
-        return from_units(F.sum(units))
+        exact = F.col("exact") if rows is None else F.when(rows, F.col("exact")).otherwise(0)
+        return from_exact(F.sum(exact))
 
     known = F.coalesce(F.col("category").isin(SPENDING_CATEGORIES), F.lit(False))
     return bought.groupBy("client_id").agg(
-        F.sum("units").alias("units"),
+        F.sum("exact").alias("exact"),
         spent().alias("total_spent"),
         F.count("*").alias("transaction_count"),
-        F.round(from_units(F.sum("units")) / F.count("*"), 2).alias("avg_transaction"),
+        F.round(from_exact(F.sum("exact")) / F.count("*"), 2).alias("avg_transaction"),
         F.max("amount").alias("max_transaction"),
         F.min("amount").alias("min_transaction"),
         F.count_distinct("merchant").alias("unique_merchants"),
@@ -205,15 +207,15 @@ def client_spending(sales: DataFrame, day: date | str) -> DataFrame:
 
 
 def _favourite_merchants(bought: DataFrame) -> DataFrame:
-    totals = bought.groupBy("client_id", "merchant").agg(F.sum("units").alias("units"))
-    most = Window.partitionBy("client_id").orderBy(F.desc("units"), "merchant")
+    totals = bought.groupBy("client_id", "merchant").agg(F.sum("exact").alias("exact"))
+    most = Window.partitionBy("client_id").orderBy(F.desc("exact"), "merchant")
     return (
         totals.withColumn("place", F.row_number().over(most))
         .where("place = 1")
         .select(
             "client_id",
             F.col("merchant").alias("favorite_merchant"),
-            from_units(F.col("units")).alias("favorite_merchant_spending"),
+            from_exact(F.col("exact")).alias("favorite_merchant_spending"),
         )
     )
 
@@ -258,14 +260,14 @@ def _tier() -> Column:
 def daily_spending_analytics(sales: DataFrame, accounts: DataFrame, day: date | str) -> DataFrame:
     """One row per client with sales that day: spending profile, segment and risk."""
     clients = client_spending(sales, day)
-    totals = clients.select("units", "total_spent")
+    totals = clients.select("exact", "total_spent")
     overall = totals.agg(
         F.struct(
-            (from_units(F.sum("units")) / F.count("*")).alias("mean"),
+            (from_exact(F.sum("exact")) / F.count("*")).alias("mean"),
             F.stddev_samp("total_spent").alias("deviation"),
         )
     )
-    quartiles = exact_quantiles(totals, "units", [0.25, 0.75]).select(F.struct("*"))
+    quartiles = exact_quantiles(totals, "exact", [0.25, 0.75]).select(F.struct("*"))
     spent, balance = F.col("total_spent"), F.col("total_opening_balance")
     by_category = [f"{c}_spent" for c in [*SPENDING_CATEGORIES, "other"]]
     largest = F.col("max_category_spending")
@@ -279,8 +281,8 @@ def daily_spending_analytics(sales: DataFrame, accounts: DataFrame, day: date |
             {
                 "avg_spending_all_clients": F.col("overall.mean"),
                 "stddev_spending": F.col("overall.deviation"),
-                "percentile_25": from_units(F.col("quartiles.q0")),
-                "percentile_75": from_units(F.col("quartiles.q1")),
+                "percentile_25": from_exact(F.col("quartiles.q0")),
+                "percentile_75": from_exact(F.col("quartiles.q1")),
                 "spending_frequency": F.round(F.col("transaction_count") / 24, 2),
                 "weekend_ratio": F.round(F.try_divide("weekend_spending", "total_spent") * 100, 1),
                 "diversity_score": F.round((F.col("unique_merchants") + F.col("unique_categories")) / 2, 1),
@@ -297,7 +299,7 @@ def daily_spending_analytics(sales: DataFrame, accounts: DataFrame, day: date |
                 "time_preference": F.when(mornings, "Morning Person").otherwise("Evening Person"),
             }
         )
-        .drop("units", "overall", "quartiles")
+        .drop("exact", "overall", "quartiles")
     )
     return report.select(F.lit(as_date(day).isoformat()).alias("report_date"), "*")
 
@@ -307,7 +309,7 @@ def spending_run_summary(report: DataFrame) -> DataFrame:
         F.count("*").alias("total_clients"),
         F.count_if(F.col("customer_segment") == "VIP - High Value").alias("vip_clients"),
         F.count_if(F.col("risk_indicator") == "High Risk").alias("high_risk_clients"),
-        F.try_divide(from_units(F.sum(to_units(F.col("total_spent")))), F.count("*")).alias("avg_spending"),
+        F.try_divide(from_exact(F.sum(to_exact(F.col("total_spent")))), F.count("*")).alias("avg_spending"),
     )
 
     def share(part: str):

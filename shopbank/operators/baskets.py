@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import as_date, completed_years, within_year
 from shopbank.functions.categories import RESTRICTED
-from shopbank.functions.money import from_units, to_units
+from shopbank.functions.money import from_exact, to_exact
 from shopbank.functions.rows import having
 
 
@@ -18,8 +18,8 @@ def _lines(transactions: DataFrame) -> DataFrame:
     return having(transactions, "customer_id", "product_id", "quantity", "transaction_id")
 
 
-def _spent_units():
-    return F.sum(to_units(F.col("quantity") * F.col("unit_price_at_purchase")))
+def _spent_exact():
+    return F.sum(to_exact(F.col("quantity") * F.col("unit_price_at_purchase")))
 
 
 def products_per_customer(transactions: DataFrame) -> DataFrame:
@@ -40,11 +40,11 @@ def basket_by_payment(transactions: DataFrame) -> DataFrame:
         _lines(transactions)
         .where("payment_method is not null")
         .groupBy("transaction_id", "payment_method")
-        .agg(F.sum("quantity").alias("items"), _spent_units().alias("amount"))
+        .agg(F.sum("quantity").alias("items"), _spent_exact().alias("amount"))
     )
     return baskets.groupBy("payment_method").agg(
         F.round(F.avg("items"), 2).alias("avg_items_per_basket"),
-        F.round(F.try_divide(from_units(F.sum("amount")), F.count("amount")), 2).alias("avg_amount_per_basket"),
+        F.round(F.try_divide(from_exact(F.sum("amount")), F.count("amount")), 2).alias("avg_amount_per_basket"),
         F.count("*").alias("baskets"),
     )
 
@@ -58,7 +58,7 @@ def card_vs_no_card(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     buyers = (
         _lines(transactions)
         .groupBy("customer_id")
-        .agg(_spent_units().alias("spent"), F.sum("quantity").alias("items"))
+        .agg(_spent_exact().alias("spent"), F.sum("quantity").alias("items"))
     )
     owns_card = customers.where("customer_id is not null").select(
         "customer_id",
@@ -69,7 +69,7 @@ def card_vs_no_card(transactions: DataFrame, customers: DataFrame) -> DataFrame:
         .groupBy("group")
         .agg(
             F.count("*").alias("customers"),
-            from_units(F.sum("spent")).alias("total_spent"),
+            from_exact(F.sum("spent")).alias("total_spent"),
             F.sum("items").alias("total_items"),
         )
         .withColumn("avg_spent_per_customer", F.expr("round(total_spent / customers, 2)"))
@@ -81,7 +81,7 @@ def top_spenders(transactions: DataFrame, year: int, n: int = 10) -> DataFrame:
         _lines(transactions)
         .where(within_year(F.col("transaction_date"), year))
         .groupBy("customer_id")
-        .agg(F.round(from_units(_spent_units()), 2).alias("total_spent"))
+        .agg(F.round(from_exact(_spent_exact()), 2).alias("total_spent"))
         .orderBy(F.desc("total_spent"), "customer_id")
         .limit(n)
     )
@@ -101,7 +101,7 @@ def top_buyers(transactions: DataFrame, year: int, n: int = 10) -> DataFrame:
 def top_customers(transactions: DataFrame, n: int = 100) -> DataFrame:
     """Text lines ``customer|total`` of the customers who spent most."""
     priced = having(transactions, "customer_id", "quantity", "unit_price_at_purchase")
-    totals = priced.groupBy("customer_id").agg(from_units(_spent_units()).alias("total_spent"))
+    totals = priced.groupBy("customer_id").agg(from_exact(_spent_exact()).alias("total_spent"))
     line = F.concat_ws("|", "customer_id", F.col("total_spent").cast("string"))
     return totals.orderBy(F.desc("total_spent"), "customer_id").limit(n).select(line.alias("value"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import week_start, within_year
-from shopbank.functions.money import exact_avg, from_units, to_units
+from shopbank.functions.money import exact_avg, from_exact, to_exact
 from shopbank.functions.rows import having
 from shopbank.operators.intervals import days_in_windows
 from shopbank.operators.prices import valid_prices
@@ -20,7 +20,7 @@ def avg_discount_per_week(discounts: DataFrame) -> DataFrame:
     return (
         valid_discounts(discounts)
         .groupBy(week_start(F.col("valid_from")).alias("week_start"))
-        .agg(F.round(exact_avg(F.col("discount_percentage"), units=1_000_000), 4).alias("avg_discount_pct"))
+        .agg(F.round(exact_avg(F.col("discount_percentage")), 4).alias("avg_discount_pct"))
     )
 
 
@@ -102,10 +102,10 @@ def missed_savings(
     price = (
         valid_prices(prices)
         .groupBy("product_id", F.col("valid_date").alias("day"))
-        .agg(F.sum(to_units(F.col("price"))).alias("price_units"))
+        .agg(F.sum(to_exact(F.col("price"))).alias("price_sum"))
     )
     windows = valid_discounts(discounts).select("product_id", "valid_from", "valid_to", "discount_percentage")
-    saved = F.expr("price_units / 10000D * discount_percentage * 0.5D * quantity")
+    saved = F.expr("cast(price_sum as double) * discount_percentage * 0.5D * quantity")
     return days_in_windows(
         bought.join(price, ["product_id", "day"]), "day", windows, F.col("valid_from"), F.col("valid_to")
-    ).agg(F.round(from_units(F.sum(to_units(saved))), 2).alias("total_missed_savings"))
+    ).agg(F.round(from_exact(F.sum(to_exact(saved))), 2).alias("total_missed_savings"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import as_date, week_start, within_year
-from shopbank.functions.money import exact_avg, from_units, to_units
+from shopbank.functions.money import exact_avg, from_exact, to_exact
 from shopbank.functions.rows import having
 from shopbank.operators.intervals import days_in_windows
 
@@ -149,7 +149,7 @@ def increase_before_discount(prices: DataFrame, discounts: DataFrame) -> DataFra
     daily = (
         valid_prices(prices)
         .groupBy("product_id", "valid_date")
-        .agg(F.sum(to_units(F.col("price"))).alias("price_units"), F.count("*").alias("rows"))
+        .agg(F.sum(to_exact(F.col("price"))).alias("price_sum"), F.count("*").alias("rows"))
     )
     windows = having(discounts, "discount_id", "product_id", "valid_from").select(
         "discount_id", "product_id", "valid_from"
@@ -159,8 +159,8 @@ def increase_before_discount(prices: DataFrame, discounts: DataFrame) -> DataFra
     near = F.col("valid_date") >= F.date_sub(start, 7)
 
     def mean(rows: Column) -> Column:
-        total = F.sum(F.when(rows, F.col("price_units")))
-        return F.try_divide(from_units(total), F.sum(F.when(rows, F.col("rows"))))
+        total = F.sum(F.when(rows, F.col("price_sum")))
+        return F.try_divide(from_exact(total), F.sum(F.when(rows, F.col("rows"))))
 
     return (
         pairs.groupBy("discount_id", "product_id", "valid_from")
@@ -235,12 +235,12 @@ def weekly_avg_price_by_category(prices: DataFrame, products: DataFrame) -> Data
     per_product = (
         valid_prices(prices)
         .groupBy("product_id", week_start(F.col("valid_date")).alias("week_start"))
-        .agg(F.sum(to_units(F.col("price"))).alias("price_units"), F.count("*").alias("rows"))
+        .agg(F.sum(to_exact(F.col("price"))).alias("price_sum"), F.count("*").alias("rows"))
     )
     return (
         per_product.join(products.select("product_id", "category"), "product_id")
         .groupBy("category", "week_start")
-        .agg(F.round(from_units(F.sum("price_units")) / F.sum("rows"), 2).alias("avg_price"))
+        .agg(F.round(from_exact(F.sum("price_sum")) / F.sum("rows"), 2).alias("avg_price"))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import within_year
-from shopbank.functions.money import from_units, to_units
+from shopbank.functions.money import from_exact, to_exact
 from shopbank.functions.rows import having
 from shopbank.operators.discounts import valid_discounts
 from shopbank.operators.intervals import days_covered, is_covered, week_number
@@ -23,8 +23,8 @@ def _revenue() -> Column:
     return F.col("quantity") * F.col("unit_price_at_purchase")
 
 
-def _revenue_units() -> Column:
-    return F.sum(to_units(_revenue()))
+def _revenue_exact() -> Column:
+    return F.sum(to_exact(_revenue()))
 
 
 def _with_discount_days(facts: DataFrame, day: Column, discounts: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def revenue_totals(transactions: DataFrame, discounts: DataFrame, year: int) ->
     daily = (
         priced_lines(transactions, year)
         .groupBy("product_id", F.to_date("transaction_date").alias("day"))
-        .agg(_revenue_units().alias("revenue"))
+        .agg(_revenue_exact().alias("revenue"))
     )
     of_year = valid_discounts(discounts).withColumns(
         {
@@ -63,10 +63,10 @@ def revenue_totals(transactions: DataFrame, discounts: DataFrame, year: int) ->
     on_discount = is_covered(F.col("day"))
 
     def income(rows: Column) -> Column:
-        return F.round(from_units(F.sum(F.when(rows, F.col("revenue")).otherwise(0))), 2)
+        return F.round(from_exact(F.sum(F.when(rows, F.col("revenue")).otherwise(0))), 2)
 
     return _with_discount_days(daily, F.col("day"), of_year).agg(
-        F.round(from_units(F.sum("revenue")), 2).alias("total_income"),
+        F.round(from_exact(F.sum("revenue")), 2).alias("total_income"),
         income(~on_discount).alias("income_excl_discount"),
         income(on_discount).alias("income_only_discount"),
     )
@@ -76,21 +76,21 @@ def revenue_monthly(transactions: DataFrame, year: int) -> DataFrame:
     return (
         priced_lines(transactions, year)
         .groupBy(F.month("transaction_date").alias("month"))
-        .agg(F.round(from_units(_revenue_units()), 2).alias("monthly_income"))
+        .agg(F.round(from_exact(_revenue_exact()), 2).alias("monthly_income"))
     )
 
 
 def _taxed_products(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue and contained tax per product, in units: the join sees one row per product."""
+    """Revenue and contained tax per product, as decimals: the join sees one row per product."""
     rates = having(products, "product_id", "tva_rate").select("product_id", "tva_rate")
-    sold = lines.groupBy("product_id").agg(_revenue_units().alias("revenue"))
-    contained = F.expr("revenue * tva_rate / (tva_rate + 1)")
-    return sold.join(rates, "product_id").select("revenue", F.floor(contained + 0.5).alias("tva"))
+    sold = lines.groupBy("product_id").agg(_revenue_exact().alias("revenue"))
+    contained = F.expr("cast(revenue as double) * tva_rate / (tva_rate + 1)")
+    return sold.join(rates, "product_id").select("revenue", to_exact(contained).alias("tva"))
 
 
 def tax_total(transactions: DataFrame, products: DataFrame, year: int) -> DataFrame:
     taxed = _taxed_products(priced_lines(transactions, year), products)
-    return taxed.agg(F.round(from_units(F.sum("tva")), 2).alias(f"total_tva_{year}"))
+    return taxed.agg(F.round(from_exact(F.sum("tva")), 2).alias(f"total_tva_{year}"))
 
 
 def tax_refundable_legal(
@@ -104,6 +104,6 @@ def tax_refundable_legal(
     legal = customers.where(F.col("customer_id").isNotNull() & (F.col("customer_type") == legal_type))
     lines = priced_lines(transactions, year).join(legal.select("customer_id"), "customer_id", "left_semi")
     return _taxed_products(lines, products).agg(
-        F.round(from_units(F.sum("revenue")), 2).alias("legal_entities_revenue"),
-        F.round(from_units(F.sum("tva")), 2).alias("refundable_tva"),
+        F.round(from_exact(F.sum("revenue")), 2).alias("legal_entities_revenue"),
+        F.round(from_exact(F.sum("tva")), 2).alias("refundable_tva"),
     )

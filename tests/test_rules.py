@@ -108,6 +108,16 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert df.where("x is null").agg(money.exact_sum(F.col("x")), money.exact_avg(F.col("x"))).first() == (None, None)
 
 
+def test_exact_sum_loses_nothing(spark):
+    small = spark.range(1_000_000).select(F.lit(0.00004).alias("x"))
+    assert small.agg(money.exact_sum(F.col("x"))).first()[0] == 40.0
+    large = spark.range(300).select(F.lit(1e15).alias("x"))
+    assert large.agg(money.exact_sum(F.col("x"))).first()[0] == 3e17
+    for unfit in (float("nan"), float("inf"), 1e300):
+        with pytest.raises(Exception, match="not an amount of money"):
+            spark.createDataFrame([(1.0,), (unfit,)], "x double").agg(money.exact_sum(F.col("x"))).collect()
+
+
 CUSTOMERS = [
     # id, first, last, birth, email, phone, address, city, card, type
     ("c1", "Ana", "Pop", date(2000, 3, 1), "ana@corp.example", "0744123456", "Str. Unirii, nr. 1", "Iași",
