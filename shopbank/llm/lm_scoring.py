@@ -108,6 +108,7 @@ def scored(docs: DataFrame, differences: DataFrame) -> DataFrame:
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """Scores of all documents against the target, the documents whose id is in ``target_ids``."""
     wanted = target_ids.select(F.col("doc_id").alias("target_id")).where("target_id is not null").distinct()
-    flagged = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("target_id"), "left")
+    # Target ids grow with the corpus: the join is a merge at every size, and skewed ids can be split.
+    flagged = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id") == F.col("target_id"), "left")
     counts = gram_counts(flagged.select("text", F.col("target_id").isNotNull()))
     return scored(docs, loss_differences(stored(counts, "gram-counts")))
