@@ -56,6 +56,8 @@ WORTH = 0.1
 KEY_BLOCK = 2048
 #: A shingle of more classes than this is a frequent one.
 RARE = 16
+#: Parts of the space of shingles; a set's numbers in each part bound from above what it can have in common with another set.
+PARTS = 256
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _A = np.array([int(factor(1000 + i)) & 0xFFFFFFFF | 1 for i in range(CODES)], np.uint32)
@@ -192,12 +194,24 @@ def not_far(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 SETS = pa.schema([("block", pa.int64()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("sets", pa.binary())])
-COUNTED = pa.schema([(c, pa.int64()) for c in ("node", "size", "shared", "frequent", "shingle")])
+COUNTED = pa.schema([*[(c, pa.int64()) for c in ("node", "size", "shared", "frequent", "shingle")], ("spectrum", pa.binary())])
+
+
+def spectra(sets: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each of the sets in a row, how many of its shingles fall into each part: bytes, or 32-bit numbers if one is larger."""
+    place = np.repeat(np.arange(len(sizes)), sizes) * PARTS + (mixed(sets) >> U64(56)).astype(np.int64)
+    counts = np.bincount(place, minlength=len(sizes) * PARTS).reshape(-1, PARTS)
+    return [x.astype(np.uint8 if x.max() < 256 else np.uint32).tobytes() for x in counts]
+
+
+def spectrum_rows(packed: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(x, np.uint8 if len(x) == PARTS else np.uint32).astype(np.uint32) for x in packed])
 
 
 def shingle_counts(texts: DataFrame, with_rare: bool = False) -> DataFrame:
-    """Rows (node, size, shared, frequent, shingle): shingles of each class, those of them that another of these classes has, and those
-    that more than ``RARE`` of them have. With ``with_rare``, a row with null counts for each other shared shingle of a class."""
+    """Rows (node, size, shared, frequent, shingle, spectrum): shingles of each class, those of them that another of these classes has, and
+    those that more than ``RARE`` of them have. With ``with_rare``, also its spectrum, and a row with null counts for each other shared
+    shingle of a class."""
     spark = texts.sparkSession
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,15 +242,17 @@ def shingle_counts(texts: DataFrame, with_rare: bool = False) -> DataFrame:
                 begins = np.cumsum(sizes) - sizes
                 sums = [np.add.reduceat(mask, begins, dtype=np.int64) for mask in (times > 1, times > RARE)]
                 none = pa.nulls(len(nodes), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sizes), *map(pa.array, sums), none], schema=COUNTED)
+                parted = pa.array(spectra(own, sizes), pa.binary()) if with_rare else pa.nulls(len(nodes), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sizes), *map(pa.array, sums), none, parted], schema=COUNTED)
                 if with_rare:
                     rare = (times > 1) & (times <= RARE)
                     none = pa.nulls(int(rare.sum()), pa.int64())
                     rows = [pa.array(np.repeat(nodes, sizes)[rare]), none, none, none, pa.array(own[rare].view(np.int64))]
+                    rows.append(pa.nulls(len(none), pa.binary()))
                     yield pa.RecordBatch.from_arrays(rows, schema=COUNTED)
 
     counted = attach(blocks, answer(ask(blocks, keys_of, parts), times_seen))
-    return counted.mapInArrow(count, "node long, size long, shared long, frequent long, shingle long")
+    return counted.mapInArrow(count, "node long, size long, shared long, frequent long, shingle long, spectrum binary")
 
 
 def bounded_pairs(left: DataFrame, right: DataFrame, on: str, most_common) -> DataFrame:
@@ -249,7 +265,7 @@ def bounded_pairs(left: DataFrame, right: DataFrame, on: str, most_common) -> Da
 
 
 def pairs_of_large_keys(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) within a key in different components that their frequent shingles alone allow, each pair under one key only.
+    """Pairs (a, b) within a key in different components that their frequent shingles and spectra allow, each pair under one key only.
 
     That is the first key, in chunk order, that the two signatures share. Members of a key are compared in pairs of blocks of about
     ``KEY_BLOCK`` classes, so a task holds two blocks; only pairs that pass leave it.
@@ -264,6 +280,7 @@ def pairs_of_large_keys(members: DataFrame) -> DataFrame:
         place = int(np.flatnonzero(index_keys(group["signature"].iloc[0])[0] == U64(int(group["key"].iloc[0]) % (1 << 64)))[0])
         chunk, left_out = divmod(place, CHUNK)
         node, root, size, frequent, own = (group[c].to_numpy(np.int64) for c in ("node", "root", "size", "frequent", "own"))
+        parted = spectrum_rows(list(group["spectrum"]))
         low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         out = []
@@ -281,7 +298,10 @@ def pairs_of_large_keys(members: DataFrame) -> DataFrame:
                 shared = differ.sum(axis=2) <= 1
                 first = shared.argmax(axis=1) == chunk
                 first &= differ[:, chunk].argmax(axis=1) == left_out
-                out.append(np.stack((np.maximum(node[a], node[b])[first], np.minimum(node[a], node[b])[first]), axis=1))
+                a, b = a[first], b[first]
+                common = np.minimum(parted[a], parted[b]).sum(axis=1, dtype=np.int64)
+                able = 100 * common >= PERCENT * (size[a] + size[b] - common)
+                out.append(np.stack((np.maximum(node[a], node[b])[able], np.minimum(node[a], node[b])[able]), axis=1))
         return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
 
     return rows.groupBy("key", "low", "high").applyInPandas(run, "a long, b long")
@@ -293,6 +313,7 @@ def last_pairs(members: DataFrame, texts: DataFrame, signatures: DataFrame) -> D
     Common shingles of two classes are at most the lesser of their shared counts. Under keys of many classes that is not sharp enough: edited
     copies of one text all share its shingles and, here and there, an edit. There the shingles are told apart by how many classes have
     them: a pair has at most the lesser of its frequent counts in common, and the rare ones that both have, found by a join on these.
+    Pairs without rare ones are also held against their spectra: no two sets share more than the lesser number in each part.
     """
     columns = ["node", "root", "size", "shared"]
     small = members.where(F.col("n") <= SMALL_KEY).select("key", *columns)
@@ -302,9 +323,9 @@ def last_pairs(members: DataFrame, texts: DataFrame, signatures: DataFrame) -> D
         return pairs.distinct()
     nodes = large.select("node", "root").distinct()
     counted = stored(shingle_counts(texts.join(nodes, "node", "left_semi"), with_rare=True), "shingle-counts")
-    sizes = nodes.join(counted.where("size is not null").select("node", "size", "frequent"), "node")
+    sizes = nodes.join(counted.where("size is not null").select("node", "size", "frequent", "spectrum"), "node")
     frequent = pairs_of_large_keys(large.join(sizes.drop("root"), "node").join(signatures, "node"))
-    rare = counted.where("shingle is not null").select("shingle", "node").join(sizes, "node")
+    rare = counted.where("shingle is not null").select("shingle", "node").join(sizes.drop("spectrum"), "node")
     met = bounded_pairs(rare, rare, "shingle", lambda x, y: F.least(f"{x}.size", f"{y}.size"))
     met = met.groupBy("x.node", "y.node", "x.size", "y.size", "x.frequent", "y.frequent").agg(F.count("*").alias("c"))
     met = met.toDF("a", "b", "m", "n", "f", "g", "c").withColumn("common", F.least("f", "g") + F.col("c"))
