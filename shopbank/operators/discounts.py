@@ -70,11 +70,19 @@ def purchases_during_discount(transactions: DataFrame, discounts: DataFrame) ->
         .groupBy("product_id", F.to_date("transaction_date").alias("day"))
         .agg(F.count("*").alias("lines"), F.sum("quantity").alias("units"))
     )
-    windows = valid_discounts(discounts).select("discount_id", "product_id", "valid_from", "valid_to")
-    return (
-        days_in_windows(daily, "day", windows, F.col("valid_from"), F.col("valid_to"))
-        .groupBy("discount_id", "product_id", "valid_from", "valid_to")
-        .agg(F.sum("lines").alias("purchase_count"), F.sum("units").alias("units_sold"))
+    window = ["product_id", "valid_from", "valid_to"]
+    listed = valid_discounts(discounts).groupBy("discount_id", *window).agg(F.count("*").alias("copies"))
+    # Each distinct window meets the days once, however many discounts share it.
+    bought = (
+        days_in_windows(daily, "day", listed.select(window).distinct(), F.col("valid_from"), F.col("valid_to"))
+        .groupBy(window)
+        .agg(F.sum("lines").alias("lines"), F.sum("units").alias("units"))
+    )
+    return listed.join(bought, window).select(
+        "discount_id",
+        *window,
+        (F.col("lines") * F.col("copies")).alias("purchase_count"),
+        (F.col("units") * F.col("copies")).alias("units_sold"),
     )
 
 

@@ -23,6 +23,12 @@ def valid_prices(prices: DataFrame) -> DataFrame:
     return having(prices, "product_id", "valid_date", "price")
 
 
+def _daily_range(prices: DataFrame) -> DataFrame:
+    """Lowest and highest price by product and day. Structs, whose aggregates sort their input, only see what this leaves."""
+    by_day = valid_prices(prices).groupBy("product_id", "valid_date")
+    return by_day.agg(F.min("price").alias("low"), F.max("price").alias("high"))
+
+
 def filled_prices(
     prices: DataFrame,
     products: DataFrame,
@@ -63,6 +69,8 @@ def filled_prices(
     if start:
         before = (
             known.where(F.col("valid_date") < first)
+            .groupBy("product_id", "valid_date")
+            .agg(F.max("price").alias("price"))
             .groupBy("product_id")
             .agg(F.max(F.struct("valid_date", "price")).alias("latest"))
         )
@@ -151,28 +159,41 @@ def increase_before_discount(prices: DataFrame, discounts: DataFrame) -> DataFra
         .groupBy("product_id", "valid_date")
         .agg(F.sum(to_exact(F.col("price"))).alias("price_sum"), F.count("*").alias("rows"))
     )
-    windows = having(discounts, "discount_id", "product_id", "valid_from").select(
+    listed = having(discounts, "discount_id", "product_id", "valid_from").select(
         "discount_id", "product_id", "valid_from"
     )
+    # Discounts of a product that start on the same day share their means.
+    starts = listed.select("product_id", "valid_from").distinct()
     start = F.col("valid_from")
-    pairs = days_in_windows(daily, "valid_date", windows, F.date_sub(start, 14), F.date_sub(start, 1))
+    pairs = days_in_windows(daily, "valid_date", starts, F.date_sub(start, 14), F.date_sub(start, 1))
     near = F.col("valid_date") >= F.date_sub(start, 7)
 
     def mean(rows: Column) -> Column:
         total = F.sum(F.when(rows, F.col("price_sum")))
         return F.try_divide(from_exact(total), F.sum(F.when(rows, F.col("rows"))))
 
-    return (
-        pairs.groupBy("discount_id", "product_id", "valid_from")
+    risen = (
+        pairs.groupBy("product_id", "valid_from")
         .agg(mean(near).alias("price_near"), mean(~near).alias("price_far"))
         .where("price_near > price_far")
     )
+    return (
+        listed.distinct()
+        .join(risen, ["product_id", "valid_from"])
+        .select("discount_id", "product_id", "valid_from", "price_near", "price_far")
+    )
 
 
 def first_and_last_prices(prices: DataFrame) -> DataFrame:
     """First and last recorded price per product, and the relative change between them."""
-    entry = F.struct("valid_date", "price")
-    ends = valid_prices(prices).groupBy("product_id").agg(F.min(entry).alias("first"), F.max(entry).alias("last"))
+    ends = (
+        _daily_range(prices)
+        .groupBy("product_id")
+        .agg(
+            F.min(F.struct("valid_date", F.col("low").alias("price"))).alias("first"),
+            F.max(F.struct("valid_date", F.col("high").alias("price"))).alias("last"),
+        )
+    )
     change = F.try_divide(F.col("last.price") - F.col("first.price"), F.col("first.price"))
     return ends.select(
         "product_id",
@@ -247,9 +268,9 @@ def weekly_avg_price_by_category(prices: DataFrame, products: DataFrame) -> Data
 def net_and_tax_per_product(prices: DataFrame, products: DataFrame) -> DataFrame:
     """Tax contained in the latest price of each product, and the price without it."""
     latest = (
-        valid_prices(prices)
+        _daily_range(prices)
         .groupBy("product_id")
-        .agg(F.max(F.struct("valid_date", "price")).alias("latest"))
+        .agg(F.max(F.struct("valid_date", F.col("high").alias("price"))).alias("latest"))
         .select(
             "product_id", F.col("latest.price").alias("gross_price"), F.col("latest.valid_date").alias("price_date")
         )
