@@ -373,3 +373,17 @@ def test_decontamination_in_pieces(docs, spark, monkeypatch):
     whole = decontamination.benchmark_hits(docs, benchmark).collect()
     monkeypatch.setattr(decontamination, "PIECE_BYTES", 300)
     same_rows(map(tuple, decontamination.benchmark_hits(docs, benchmark).collect()), map(tuple, whole))
+
+
+def test_spectra_bound_what_sets_share():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 400_000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (1, 40, 5_000, 300_000)]
+    sizes = np.array([len(x) for x in sets])
+    packed = near_dedup.spectra(np.concatenate(sets), sizes)
+    assert [len(x) for x in packed] == [near_dedup.PARTS] * 3 + [4 * near_dedup.PARTS]
+    rows = near_dedup.spectrum_rows(packed)
+    assert rows.sum(axis=1).tolist() == sizes.tolist()
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert np.minimum(rows[i], rows[j]).sum() >= len(np.intersect1d(x, y))
