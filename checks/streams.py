@@ -64,14 +64,15 @@ def _order_totals(v: Views) -> DataFrame:
 
 
 def _matches(v: Views) -> DataFrame:
-    events = _events(v)
-    transactions = events.where("event_type = 'purchase'").selectExpr(
+    """Every event is a transaction, and an update of its client an hour and a half later."""
+    transactions = _events(v).selectExpr(
         "cast(event_id as string) as transaction_id", "cast(user_id as string) as client_id", "value as amount",
         "ts as timestamp",
     )
-    clients = _events(v).where("event_type = 'signup'").selectExpr(
+    clients = _events(v).selectExpr(
         "cast(user_id as string) as client_id", "concat('Client ', user_id) as client_name",
-        "concat('T', substring(get_json_object(props, '$.k'), 1, 1)) as account_type", "ts as updated_at",
+        "concat('T', substring(get_json_object(props, '$.k'), 1, 1)) as account_type",
+        "ts + interval 90 minutes as updated_at",
     )
     joined = ops.client_matches(transactions, clients, within=WITHIN, delay="1 day")
     return _appended(v, joined, "matches")
@@ -109,7 +110,8 @@ def _enriched(v: Views) -> DataFrame:
 
 
 def _unique(v: Views) -> DataFrame:
-    events = ops.deduplicated(_timed(v), "event_id").select("event_id", "user_id", "value", "ts")
+    twice = _timed(v).withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
+    events = ops.deduplicated(twice, "event_id").select("event_id", "user_id", "value", "ts")
     return _zoneless(_appended(v, events, "unique"))
 
 
@@ -117,10 +119,9 @@ MATCHES = f"""matches as (
   select cast(t.ts as date) as event_date, cast(t.event_id as varchar) as transaction_id,
     cast(t.user_id as varchar) as client_id, t.value as amount, t.ts as transaction_time,
     'Client ' || c.user_id as client_name, 'T' || substr(json_extract_string(c.props, '$.k'), 1, 1) as account_type,
-    c.ts as client_time
+    c.ts + interval 90 minutes as client_time
   from events t join events c on c.user_id = t.user_id
-    and c.ts between t.ts - interval {WITHIN} and t.ts + interval {WITHIN}
-  where t.event_type = 'purchase' and c.event_type = 'signup')"""
+    and c.ts + interval 90 minutes between t.ts - interval {WITHIN} and t.ts + interval {WITHIN})"""
 CLOSED = "(select max(ts) from events) - interval {0}"
 STARTS = "time_bucket(interval {0}, ts)"
 
