@@ -15,8 +15,8 @@ from checks.registry import Check, total
 from checks.views import Views
 from shopbank.session import scratch_path
 from shopbank.sources.streams import read_parquet_stream
+from shopbank.streaming import jobs, sinks
 from shopbank.streaming import operators as ops
-from shopbank.streaming import sinks
 
 WITHIN = "6 hours"
 SESSION_GAP = "2 hours"
@@ -74,8 +74,18 @@ def _matches(v: Views) -> DataFrame:
         "concat('T', substring(get_json_object(props, '$.k'), 1, 1)) as account_type",
         "ts + interval 90 minutes as updated_at",
     )
-    joined = ops.client_matches(transactions, clients, within=WITHIN, delay="1 day")
-    return _appended(v, joined, "matches")
+    return ops.client_matches(transactions, clients, within=WITHIN, delay="1 day")
+
+
+def _stored_matches(v: Views) -> DataFrame:
+    return _appended(v, _matches(v), "matches")
+
+
+def _matched_totals(v: Views) -> DataFrame:
+    path = scratch_path(v.spark, "matched-totals")
+    write = jobs.matched_increments(f"{path}/rows")
+    sinks.start_batches(_matches(v), write, f"{path}/checkpoint").awaitTermination()
+    return jobs.matched_totals(v.spark, f"{path}/rows")
 
 
 def _daily_sales(v: Views) -> DataFrame:
@@ -129,11 +139,11 @@ CHECKS = [
     Check("stream_order_totals", _order_totals, """
 select cast(ts as date) as event_date, event_type as type, cast(sum(cast(trunc(value) as int)) as bigint) as total_quantity
 from events group by 1, 2"""),
-    Check("stream_interval_join", lambda v: _zoneless(_matches(v)), f"with {MATCHES} select * from matches"),
-    Check("stream_matched_totals", lambda v: ops.matched_totals(_matches(v)), f"""
+    Check("stream_interval_join", lambda v: _zoneless(_stored_matches(v)), f"with {MATCHES} select * from matches"),
+    Check("stream_matched_totals", _matched_totals, f"""
 with {MATCHES} select event_date, client_id, client_name, account_type, {total('amount')} as total_amount
 from matches group by 1, 2, 3, 4"""),
-    Check("stream_transaction_totals", lambda v: ops.client_totals(_matches(v)), f"""
+    Check("stream_transaction_totals", lambda v: ops.client_totals(_stored_matches(v)), f"""
 with {MATCHES}, nearest as (
   select *, row_number() over (partition by transaction_id order by
     abs(epoch_us(client_time) - epoch_us(transaction_time)), client_time desc, account_type desc) as n from matches)

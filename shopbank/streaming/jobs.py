@@ -1,4 +1,4 @@
-"""The two daily streaming jobs, from source folder to stored result."""
+"""The daily streaming jobs, from source folder to stored result."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shopbank.functions.money import from_exact, to_exact
 from shopbank.sources import schemas
 from shopbank.sources.streams import read_day_stream
 from shopbank.streaming import operators as ops
@@ -30,17 +31,37 @@ def order_totals(spark: SparkSession, target: str) -> DataFrame:
     return sinks.summed(spark.read.parquet(target), ORDER_KEYS, "total_quantity")
 
 
-def start_client_matches(
-    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
-) -> StreamingQuery:
-    """Transactions with the client updates around them, below ``target``."""
-    matches = ops.client_matches(
+def _matches(spark: SparkSession, root: str, day: date | str) -> DataFrame:
+    return ops.client_matches(
         read_day_stream(spark, root, "transactions", day, schemas.TRANSACTION_STREAM),
         read_day_stream(spark, root, "clients", day, schemas.CLIENT_STREAM),
         day,
     )
-    return sinks.start_append(matches, target, checkpoint, every)
+
+
+def start_client_matches(
+    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
+) -> StreamingQuery:
+    """Transactions with the client updates around them, below ``target``."""
+    return sinks.start_append(_matches(spark, root, day), target, checkpoint, every)
 
 
 def client_totals(spark: SparkSession, target: str) -> DataFrame:
     return ops.client_totals(spark.read.parquet(target))
+
+
+def matched_increments(target: str) -> sinks.BatchWriter:
+    """Amount by client version that each batch adds, as exact decimals."""
+    return sinks.increments(target, ops.CLIENT_KEYS, F.sum(to_exact(F.col("amount"))).alias("total_amount"))
+
+
+def start_matched_totals(
+    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
+) -> StreamingQuery:
+    """Amount by day and client version over all matches, as increments of each batch; no match is stored."""
+    return sinks.start_batches(_matches(spark, root, day), matched_increments(target), checkpoint, every=every)
+
+
+def matched_totals(spark: SparkSession, target: str) -> DataFrame:
+    totals = sinks.summed(spark.read.parquet(target), ops.CLIENT_KEYS, "total_amount")
+    return totals.withColumn("total_amount", from_exact(F.col("total_amount")))

@@ -83,7 +83,7 @@ def client_matches(
     return left.join(right, near).drop("_client", "_salt", "salt")
 
 
-_CLIENT_KEYS = ["event_date", "client_id", "client_name", "account_type"]
+CLIENT_KEYS = ["event_date", "client_id", "client_name", "account_type"]
 
 
 def client_totals(matches: DataFrame) -> DataFrame:
@@ -98,14 +98,14 @@ def client_totals(matches: DataFrame) -> DataFrame:
     )
     return (
         chosen.select("event_date", "client_id", "version.client_name", "version.account_type", "amount")
-        .groupBy(*_CLIENT_KEYS)
+        .groupBy(*CLIENT_KEYS)
         .agg(exact_sum(F.col("amount")).alias("total_amount"))
     )
 
 
 def matched_totals(matches: DataFrame) -> DataFrame:
     """Amount per client over all matches: a transaction counts once for every update near it."""
-    return matches.groupBy(*_CLIENT_KEYS).agg(exact_sum(F.col("amount")).alias("total_amount"))
+    return matches.groupBy(*CLIENT_KEYS).agg(exact_sum(F.col("amount")).alias("total_amount"))
 
 
 def tumbling_totals(

@@ -101,6 +101,9 @@ def test_client_matches(spark, root):
     day = at(0).date()
     # Equally near updates: the later one is taken, and the amount counts once.
     assert rows(jobs.client_totals(spark, target)) == [(day, "1", "Ana", "new", 10.0), (day, "2", "Ion", "basic", 1.0)]
+    totals = f"{root}/totals"
+    run(jobs.start_matched_totals(spark, root, DAY, totals, f"{root}/totals-checkpoint", every=None))
+    assert rows(jobs.matched_totals(spark, totals)) == rows(ops.matched_totals(stored))
     assert rows(ops.matched_totals(stored)) == [
         (day, "1", "Ana", "new", 10.0), (day, "1", "Ana", "old", 10.0), (day, "2", "Ion", "basic", 1.0),
     ]
