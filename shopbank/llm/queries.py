@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopbank.llm import (
-    decontamination, language_id, license_scan, lm_scoring, mixing, near_dedup, quality, sharding, substring_dedup, token_counts,
+    decontamination, language_id, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_counts,
+    word_scoring,
 )
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,7 +44,7 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Scores against the documents that are labelled good and not toxic."""
     good = table(spark, folder, "labels").where("quality = 1 and toxic = 0")
-    return lm_scoring.cross_entropy_difference(table(spark, folder, "documents"), good)
+    return word_scoring.word_cross_entropy_difference(table(spark, folder, "documents"), good)
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
