@@ -2,9 +2,10 @@
 
 Words are runs of ASCII letters and digits, lower-cased, and of characters beyond ASCII. The index holds, of each template's 3-word
 windows, the least of each 4 neighbours (winnowing), so any 6 words copied from a template hold an indexed window; a template with
-fewer windows has its least one. A document's windows are all looked up. Hits of a template on about the same
-diagonal are one candidate; it is aligned to the words around within a band of ``BAND`` diagonals on either side (match 2,
-other steps -1). Reported are the share of the template's words that match and the span from the first to the last of them.
+fewer windows has its least one. A document's windows are all looked up. From each hit in turn whose words are not yet taken, the template
+is aligned to the words around within a band of ``BAND`` diagonals on either side (match 2, other steps -1), until no hit is left, so
+each of several occurrences is found. Pieces that follow one another in the template are chained over insertions of up to the template's
+length. Reported are the share of the template's words that match and the span from the first to the last of them.
 
 One pass over the rows, no shuffle; the templates are a parameter, indexed on the driver and sent with the code.
 
@@ -55,17 +56,14 @@ class Index:
         self.template = np.array([t for _, t, _ in found], np.int64)
         self.place = np.array([i for _, _, i in found], np.int64)
 
-    def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
-        """(template, diagonal) pairs to align; near diagonals of one template are one."""
+    def hits(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """For each template the (document place, template place) of shared windows, in order of place."""
         prints = window_names(words, GRAM)
         low, high = np.searchsorted(self.prints, prints), np.searchsorted(self.prints, prints, side="right")
-        out: list[tuple[int, int]] = []
-        hits = sorted(
-            (int(self.template[k]), int(at) - int(self.place[k])) for at in np.flatnonzero(high > low) for k in range(low[at], high[at])
-        )
-        for t, diagonal in hits:
-            if not out or out[-1][0] != t or diagonal - out[-1][1] > BAND:
-                out.append((t, diagonal))
+        out: dict[int, list[tuple[int, int]]] = {}
+        for at in np.flatnonzero(high > low).tolist():
+            for k in range(low[at], high[at]):
+                out.setdefault(int(self.template[k]), []).append((at, int(self.place[k])))
         return out
 
 
@@ -99,17 +97,48 @@ def aligned(template: np.ndarray, words: np.ndarray, diagonal: int) -> list[tupl
     return out[::-1]
 
 
+def pieces(template: np.ndarray, words: np.ndarray, hits: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Alignments that share no document word, until each hit has one of its words in some alignment."""
+    left, free = words.copy(), np.ones(len(words), bool)
+    out = []
+    for at, place in hits:
+        while free[at : at + GRAM].all() and (pairs := aligned(template, left, at - place)):
+            out.append(pairs)
+            taken = [j for _, j in pairs]
+            free[taken] = False
+            left[taken] = 0
+    return out
+
+
+def chained(template: np.ndarray, found: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+    """Pieces that cover enough as they are, and the others joined to the pieces before that they carry on."""
+    whole = [x for x in found if len(x) >= LEAST_COVERAGE * len(template)]
+    chains: list[list[tuple[int, int]]] = []
+    for piece in sorted((x for x in found if len(x) < LEAST_COVERAGE * len(template)), key=lambda x: x[0][1]):
+        best, rest = None, []
+        for chain in chains:
+            place, end = chain[-1]
+            more = [(i, j) for i, j in piece if i > place and j > end]
+            if len(more) > len(rest) and more[0][1] - end <= max(4 * BAND, len(template)):
+                best, rest = chain, more
+        if best is not None:
+            best += rest
+        else:
+            chains.append(list(piece))
+    return whole + chains
+
+
 def found_licenses(text: bytes, index: Index, names: Names) -> list[dict]:
     """Matches in order of place: license, matched words, coverage, and the span in words and in bytes."""
     words = names.of(license_words(text))
     if len(words) < GRAM:
         return []
     matches = []
-    for t, diagonal in index.candidates(words):
-        pairs = aligned(index.rows[t], words, diagonal)
-        coverage = len(pairs) / len(index.rows[t])
-        if pairs and coverage >= LEAST_COVERAGE:
-            matches.append((-len(pairs), -coverage, index.labels[t], pairs[0][1], pairs[-1][1] + 1))
+    for t, hits in index.hits(words).items():
+        for pairs in chained(index.rows[t], pieces(index.rows[t], words, hits)):
+            coverage = len(pairs) / len(index.rows[t])
+            if coverage >= LEAST_COVERAGE:
+                matches.append((-len(pairs), -coverage, index.labels[t], pairs[0][1], pairs[-1][1] + 1))
     taken: list[tuple[int, int]] = []
     out = []
     places = [m.span() for m in _WORD.finditer(text.translate(_LOWER))] if matches else []
