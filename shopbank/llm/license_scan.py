@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from shopbank.llm.license_templates import TEMPLATES
+from shopbank.llm.license_templates import MARKED, MARKS, TEMPLATES
 from shopbank.llm.words import U64, Names, texts_of, window_names
 
 GRAM, WINNOW = 3, 4
@@ -45,6 +45,12 @@ class Index:
         names = Names()
         self.labels = [name for name, texts in templates.items() for _ in texts]
         self.rows = [names.of(license_words(text.encode())) for texts in templates.values() for text in texts]
+        self.marks = names.of([mark.encode() for mark in sorted(MARKS)])
+        #: For templates of families that differ by single words, the places of those words.
+        self.marked = [
+            frozenset(np.flatnonzero(np.isin(row, self.marks)).tolist()) if label.split("-")[0] in MARKED else None
+            for label, row in zip(self.labels, self.rows, strict=True)
+        ]
         found: list[tuple[int, int, int]] = []
         for t, row in enumerate(self.rows):
             prints = window_names(row, min(GRAM, len(row)))
@@ -56,6 +62,14 @@ class Index:
         self.template = np.array([t for _, t, _ in found], np.int64)
         self.place = np.array([i for _, _, i in found], np.int64)
 
+    def named(self, t: int, words: np.ndarray, pairs: list[tuple[int, int]]) -> bool:
+        """Whether the words that tell the template's license from its neighbours all match, with no other one among them."""
+        if self.marked[t] is None:
+            return True
+        matched = {j for _, j in pairs}
+        between = np.array([j for j in range(pairs[0][1], pairs[-1][1]) if j not in matched], np.int64)
+        return self.marked[t] <= {i for i, _ in pairs} and not np.isin(words[between], self.marks).any()
+
     def hits(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
         """For each template the (document place, template place) of shared windows, in order of place."""
         prints = window_names(words, GRAM)
@@ -137,7 +151,7 @@ def found_licenses(text: bytes, index: Index, names: Names) -> list[dict]:
     for t, hits in index.hits(words).items():
         for pairs in chained(index.rows[t], pieces(index.rows[t], words, hits)):
             coverage = len(pairs) / len(index.rows[t])
-            if coverage >= LEAST_COVERAGE:
+            if coverage >= LEAST_COVERAGE and index.named(t, words, pairs):
                 matches.append((-len(pairs), -coverage, index.labels[t], pairs[0][1], pairs[-1][1] + 1))
     taken: list[tuple[int, int]] = []
     out = []

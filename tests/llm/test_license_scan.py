@@ -19,3 +19,22 @@ def test_long_insertions():
     text = " ".join(words[:55] + [f"in{k}" for k in range(30)] + words[55:])
     got = found(text)
     assert [r["license"] for r in got] == ["MIT"] and got[0]["coverage"] == 1.0 and got[0]["end_byte"] >= len(text) - 1
+
+
+def test_neighbours_are_told_apart():
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    cases = [
+        (gnu.format("", 2), "GPL-2.0"), (gnu.format("", 3), "GPL-3.0"), (gnu.format("Library ", 2), "LGPL-2.0"), (gnu.format("Affero ", 3), "AGPL-3.0"), (gnu.format("Lesser ", 3), "LGPL-3.0"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+    ]
+    for text, name in cases:
+        assert [r["license"] for r in found(text)] == [name]
+    assert found(gnu.format("", 1)) == [] and found("Licensed under CC BY-SA 3.0.") == []
+
+
+def test_texts_end_with_their_warranty():
+    for name, end in (
+        ("MIT", "DEALINGS IN THE SOFTWARE."), ("ISC", "PERFORMANCE OF THIS SOFTWARE."), ("BSD-2-Clause", "SUCH DAMAGE."), ("BSD-3-Clause", "SUCH DAMAGE."),
+    ):
+        text = license_scan.TEMPLATES[name][-1]
+        assert text.endswith(end) and [(r["license"], r["end_byte"]) for r in found(text)] == [(name, len(text) - 1)]
