@@ -4,7 +4,7 @@ A document's set is its distinct 5-word shingles (lower-cased A-Z; words are run
 whole sequence as one. Documents of equal sets are one class. A class has a signature of 140 MinHash codes of 8 bits. The codes are
 split into 20 chunks of 7. By the pigeonhole principle, signatures that differ in at most 39 codes agree in some chunk up to one
 code. So each chunk is entered under its 7 ways to leave one code out: all pairs within that distance meet under some key. Two sets of similarity 0.75
-differ in 35 codes on average; beyond 39 they still meet but for 8 in a million.
+differ in 35 codes on average; about 7 in a million such pairs share no key.
 
 How the pairs are handled, so that a group of any size stays cheap:
 
@@ -17,7 +17,7 @@ How the pairs are handled, so that a group of any size stays cheap:
 - All pairs left that share a key, lie in different components and pass the bound are tested, those of hopelessly distant
   signatures aside. A link within a component can't change it.
 
-So no link between different texts is lost, and the exact test on full sets decides every link used.
+The exact test on full sets decides every link used. Lost are links of pairs that share no key, or whose signatures differ beyond ``FAR``.
 
 Defined results: a document without words (null or empty text) has an empty set, is its own component and kept. Null ids are allowed; a
 component's id is its smallest id that is not null. Repeated rows are a class. An empty table gives no rows. Extra columns are left alone.
