@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopbank.llm import (
-    decontamination, language_id, license_scan, mixing, near_dedup, quality, sharding, substring_dedup, token_counts,
-    word_scoring,
+    decontamination, language_id, license_scan, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup,
+    token_counts, word_scoring,
 )
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -75,6 +75,11 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.without_common_lines(table(spark, folder, "documents"), min_chars=20, min_docs=3)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_language_id": op2_language_id,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_quality": op8_line_quality,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 _WORDS = rf"regexp_extract_all(coalesce(text, ''), '{WORD}')"
@@ -222,10 +228,25 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as
 from texts left join kept using (r)
 """
 
+_WHITE = " || ".join(f"chr({ord(c)})" for c in line_dedup.WHITE)
+_LINE_DEDUP = rf"""
+with lines as (
+    select r, doc_id, unnest(parts) as line, generate_subscripts(parts, 1) as place
+    from (select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents)),
+keyed as (
+    select *, translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+common as (select key, max(doc_id) as last from keyed where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+marked as (select r, doc_id, place, line, coalesce(doc_id <> last, false) as gone from keyed left join common using (key))
+select doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
+from marked group by r, doc_id
+"""
+
 SQL: dict[str, str] = {
     "op1_near_dedup": _NEAR_DEDUP,
     "op7_mixing": _MIXING,
     "op8_line_quality": _QUALITY,
     "op9_substring_dedup": _SUBSTRING_DEDUP,
     "op10_decontamination": _DECONTAMINATION,
+    "op12_line_dedup": _LINE_DEDUP,
 }
