@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopbank.llm import (
-    decontamination, language_id, license_scan, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup,
-    token_counts, word_scoring,
+    decontamination, language_id, license_scan, line_dedup, manifest, mixing, near_dedup, quality, sharding,
+    substring_dedup, token_counts, word_scoring,
 )
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,6 +80,13 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Where 5 divides the checksum of the id, the verified copy is tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = manifest.manifest(table(spark, folder, "documents"), tampered)
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_language_id": op2_language_id,
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
     "op12_line_dedup": op12_line_dedup,
+    "op13_manifest": op13_manifest,
 }
 
 _WORDS = rf"regexp_extract_all(coalesce(text, ''), '{WORD}')"
@@ -242,6 +250,69 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint
 from marked group by r, doc_id
 """
 
+#: The table of CRC-32, and the checksum of the bytes in a list (the polynomial is a fixed value).
+_CRC_TABLE = """crc as (
+    select list(c order by i) as crc_table from (
+        select i, list_reduce(list_prepend(i, range(8)),
+            lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) as c
+        from range(256) as t(i)))"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, {codes}),
+        lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295::bigint)"""
+
+
+def _measured(column: str) -> str:
+    return f"coalesce(strlen({column}::varchar) || ':' || {column}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_measured, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ID_CRC = _CRC.format(codes="list_transform(string_split(doc_id::varchar, ''), lambda d: ascii(d)::bigint)")
+_MANIFEST = f"""
+with recursive {_CRC_TABLE},
+leaves as (
+    select row_number() over () as r, doc_id, source, {_leaf('text')} as leaf,
+           case when {_ID_CRC} % 5 = 0 then {_leaf(_LOWERED)} end as changed
+    from documents, crc),
+ordered as (
+    select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p, count(*) over (partition by source) as n
+    from leaves),
+nodes(level, source, n, p, digest) as (
+    select 0::bigint, source, n, p, leaf from ordered
+    union all
+    select level + 1, source, (n + 15) // 16, p // 16, sha256(string_agg(digest, '' order by p))
+    from nodes where n > 1 group by level, source, n, p // 16),
+subroots as (
+    select source, digest, row_number() over (order by source nulls first) - 1 as p, count(*) over () as n from nodes where n = 1),
+tops(level, n, p, digest) as (
+    select 0::bigint, n, p, digest from subroots
+    union all
+    select level + 1, (n + 15) // 16, p // 16, sha256(string_agg(digest, '' order by p)) from tops where n > 1 group by level, n, p // 16),
+steps as (
+    select r, level as step, string_agg(digest, '' order by x.p) filter (where x.p < o.p // (16 ** level)::bigint) as l,
+           string_agg(digest, '' order by x.p) filter (where x.p > o.p // (16 ** level)::bigint) as r_
+    from ordered o join nodes x on x.source is not distinct from o.source and x.n > 1 and x.p // 16 = o.p // (16 ** (level + 1))::bigint
+    group by r, level
+    union all
+    select r, 1000 + level, string_agg(t.digest, '' order by t.p) filter (where t.p < s.p // (16 ** level)::bigint),
+           string_agg(t.digest, '' order by t.p) filter (where t.p > s.p // (16 ** level)::bigint)
+    from ordered o join subroots s on s.source is not distinct from o.source
+        join tops t on t.n > 1 and t.p // 16 = s.p // (16 ** (level + 1))::bigint
+    group by r, level),
+paths as (
+    select r, string_agg(coalesce(l, '') || coalesce(r_, ''), '' order by step) as siblings,
+           list({{'l': coalesce(l, ''), 'r': coalesce(r_, '')}} order by step) as path
+    from steps group by r),
+folded as (
+    select o.*, s.digest as subroot, t.digest as root, sha256(coalesce(siblings, '')) as proof_sha256,
+           list_reduce(list_prepend({{'l': coalesce(changed, leaf), 'r': ''}}, coalesce(path, [])),
+               lambda a, b: {{'l': sha256(b.l || a.l || b.r), 'r': ''}}).l as folded_root
+    from ordered o join subroots s on s.source is not distinct from o.source join tops t on t.n = 1 left join paths using (r))
+select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from folded
+"""
+
 SQL: dict[str, str] = {
     "op1_near_dedup": _NEAR_DEDUP,
     "op7_mixing": _MIXING,
@@ -249,4 +320,5 @@ SQL: dict[str, str] = {
     "op9_substring_dedup": _SUBSTRING_DEDUP,
     "op10_decontamination": _DECONTAMINATION,
     "op12_line_dedup": _LINE_DEDUP,
+    "op13_manifest": _MANIFEST,
 }
