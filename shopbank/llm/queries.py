@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopbank.llm import (
     decontamination, language_id, license_scan, line_dedup, manifest, mixing, near_dedup, quality, sharding,
-    substring_dedup, token_counts, word_scoring,
+    spelling, substring_dedup, token_counts, word_scoring,
 )
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -75,6 +75,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"), slip=97)
+
+
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = line_dedup.without_common_lines(table(spark, folder, "documents"), min_chars=20, min_docs=3)
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_quality": op8_line_quality,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling": op11_spelling,
     "op12_line_dedup": op12_line_dedup,
     "op13_manifest": op13_manifest,
 }
@@ -313,12 +318,48 @@ folded as (
 select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from folded
 """
 
+#: Letters beyond ASCII as single bytes, since edit distances count bytes.
+_WIDE = "".join(chr(c) for c in range(0xC0, 0x100))
+_NARROW = "".join(chr(c) for c in range(0x21, 0x61)).replace("'", "''")
+_RUN_CRC = _CRC.format(codes="list_transform(range(1, octet_length(name) + 1), lambda i: ('0x' || substr(hex(name), 2 * i - 1, 2))::bigint)")
+_SPELLING = rf"""
+with recursive {_CRC_TABLE},
+runs as (select doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) as run from documents),
+counted as (select doc_id, run, count(*) as k, encode(coalesce(doc_id::varchar, '') || ':' || run) as name from runs group by doc_id, run),
+summed as (select *, {_RUN_CRC} as h from counted, crc),
+altered as (
+    select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, k from summed),
+words as (
+    select word, sum(k)::bigint as n, translate(word, '{_WIDE}', '{_NARROW}') as bytes
+    from altered where length(word) >= 5 group by word having sum(k) >= 3),
+keys as (
+    select word, n, bytes, bytes as key from words
+    union
+    select word, n, bytes, unnest(list_transform(range(1, length(bytes) + 1), lambda i: substr(bytes, 1, i - 1) || substr(bytes, i + 1))) from words),
+pairs as (
+    select distinct a.word, a.n, b.word as near, b.n as near_n
+    from keys a join keys b using (key) where a.word <> b.word and levenshtein(a.bytes, b.bytes) = 1),
+best as (
+    select word, count(*) as n_near, min({{'order': -near_n, 'near': near}}) as best from pairs group by word),
+forms as (
+    select w.word, w.n, coalesce(n_near, 0)::bigint as n_near,
+           case when -best['order'] >= 2 * n then best['near'] end as form, case when -best['order'] >= 2 * n then -best['order'] end as form_n
+    from words w left join best using (word)),
+chains(word, reached, next) as (
+    select word, word, form from forms
+    union all
+    select c.word, f.word, f.form from chains c join forms f on f.word = c.next)
+select f.word, form, reached as root, n, n_near, form_n::bigint as form_n
+from forms f join chains c on c.word = f.word and c.next is null
+"""
+
 SQL: dict[str, str] = {
     "op1_near_dedup": _NEAR_DEDUP,
     "op7_mixing": _MIXING,
     "op8_line_quality": _QUALITY,
     "op9_substring_dedup": _SUBSTRING_DEDUP,
     "op10_decontamination": _DECONTAMINATION,
+    "op11_spelling": _SPELLING,
     "op12_line_dedup": _LINE_DEDUP,
     "op13_manifest": _MANIFEST,
 }
