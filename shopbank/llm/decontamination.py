@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopbank.llm.words import covered, spans, texts_of
+from shopbank.llm.words import covered, released, spans, texts_of
 
 WIDTH = 13
 SHARD_WORDS = 1 << 20
@@ -237,7 +237,7 @@ def by_shard(pieces: list, text_at: int, finish: Callable[[pa.RecordBatch, list]
                 yield finish(batch.slice(begin, end - begin), scan(texts[begin:end], phrases))
                 begin = end
 
-    return run
+    return released(run)
 
 
 def contaminated(n_words: int, n_hit: int) -> bool:

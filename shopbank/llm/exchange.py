@@ -25,6 +25,12 @@ def part_count(spark, key_bytes: int) -> int:
     return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-key_bytes // PART_BYTES))
 
 
+def parts_of(key_bytes: int, part_bytes: int = 2 << 20) -> int:
+    """Parts for so many bytes of keys, whatever the session's partitions. A block sends a row to each part it has keys for, so parts and
+    blocks of a fixed size make rows that grow with the square of the input, until a row holds a single key; from there on in proportion."""
+    return max(8, -(-key_bytes // part_bytes))
+
+
 def deal(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """The order that puts keys (the first column, if they have several) part by part, and where each part begins."""
     part = (keys if keys.ndim == 1 else keys[:, 0]) % np.uint64(parts)

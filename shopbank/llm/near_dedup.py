@@ -36,9 +36,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopbank.llm.components import connected
-from shopbank.llm.exchange import answer, ask, attach, part_count, replies_in_order, seen_twice, times_seen
+from shopbank.llm.exchange import answer, ask, attach, parts_of, replies_in_order, seen_twice, times_seen
 from shopbank.llm.scratch import stored
-from shopbank.llm.words import U64, Names, factor, mixed, texts_of, window_names
+from shopbank.llm.words import U64, Names, factor, mixed, released, texts_of, window_names
 
 SHINGLE = 5
 CHUNKS, CHUNK = 20, 7
@@ -47,6 +47,10 @@ CODES = CHUNKS * CHUNK
 FAR = 70
 PERCENT = 75
 BLOCK_CLASSES = 4096
+#: Words whose names a task keeps.
+NAMES = 1 << 16
+#: Most bytes of sets that one block of ``shingle_counts`` has, besides its last set.
+BLOCK_SETS = 8 << 20
 STAR_ROUNDS, SMALL_KEY = 6, 32
 #: Classes with this share of shared shingles (in percent) take part in further stars; all others wait for the last step.
 HOPEFUL = 85
@@ -91,7 +95,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """One row for each document; ``set`` is a 128-bit digest, null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Names()
+        names = Names(NAMES)
         for batch in batches:
             sizes, sets, signatures = [], [], []
             for text in texts_of(batch.column(2)):
@@ -105,11 +109,11 @@ def sketches(docs: DataFrame) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set binary, signature binary")
+    return rows.mapInArrow(released(run), "doc_id long, text_key long, n_shingles long, set binary, signature binary")
 
 
-def class_blocks(classes: DataFrame) -> DataFrame:
-    """Rows (block, nodes, signatures) of packed classes."""
+def class_blocks(classes: DataFrame, n: int) -> DataFrame:
+    """Rows (block, nodes, signatures) of packed classes, ``n`` in all; small partitions share a block."""
     schema = pa.schema([("block", pa.int64()), ("nodes", pa.binary()), ("signatures", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +124,8 @@ def class_blocks(classes: DataFrame) -> DataFrame:
                 row = {"block": int(nodes[0]), "nodes": nodes.tobytes(), "signatures": b"".join(part.column(1).to_pylist())}
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
-    return classes.select("node", "signature").mapInArrow(run, "block long, nodes binary, signatures binary")
+    packed = classes.select("node", "signature").coalesce(-(-n // BLOCK_CLASSES) or 1)
+    return packed.mapInArrow(released(run), "block long, nodes binary, signatures binary")
 
 
 def index_keys(signatures: bytes) -> np.ndarray:
@@ -134,9 +139,9 @@ def index_keys(signatures: bytes) -> np.ndarray:
 
 def shared_keys(classes: DataFrame) -> DataFrame:
     """Rows (key, node) of the keys that two classes or more have."""
-    spark = classes.sparkSession
-    blocks = stored(class_blocks(classes), "class-blocks")
-    parts = part_count(spark, 8 * CODES * classes.count())
+    n = classes.count()
+    blocks = stored(class_blocks(classes, n), "class-blocks")
+    parts = parts_of(8 * CODES * n)
 
     def keys_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = np.unique(index_keys(row["signatures"]), return_counts=True)
@@ -155,14 +160,14 @@ def shared_keys(classes: DataFrame) -> DataFrame:
                 nodes = np.broadcast_to(np.frombuffer(row["nodes"], np.int64)[:, None], own.shape)
                 yield pa.RecordBatch.from_arrays([pa.array(own[shared].view(np.int64)), pa.array(nodes[shared])], schema=schema)
 
-    return stored(attach(blocks, replies).mapInArrow(members, "key long, node long"), "shared-keys")
+    return stored(attach(blocks, replies).mapInArrow(released(members), "key long, node long"), "shared-keys")
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with the column ``linked``: whether the full sets of the two classes are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Names()
+        names = Names(NAMES)
         found = lru_cache(64)(lambda text: shingles(text, names))
         for batch in batches:
             linked = []
@@ -175,7 +180,7 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
-    return stored(rows.mapInArrow(run, "a long, b long, linked boolean"), "tested-pairs")
+    return stored(rows.mapInArrow(released(run), "a long, b long, linked boolean"), "tested-pairs")
 
 
 def not_far(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -212,20 +217,26 @@ def shingle_counts(texts: DataFrame, with_rare: bool = False) -> DataFrame:
     """Rows (node, size, shared, frequent, shingle, spectrum): shingles of each class, those of them that another of these classes has, and
     those that more than ``RARE`` of them have. With ``with_rare``, also its spectrum, and a row with null counts for each other shared
     shingle of a class."""
-    spark = texts.sparkSession
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Names()
+        names = Names(NAMES)
         for batch in batches:
-            nodes, own = batch.column(0).to_numpy(zero_copy_only=False), texts_of(batch.column(1))
-            for at in range(0, len(nodes), 1024):
-                sets = [shingles(t, names) for t in own[at : at + 1024]]
-                sizes = np.array([len(x) for x in sets], np.int64)
-                row = {"block": int(nodes[at]), "nodes": nodes[at : at + 1024].tobytes(), "sizes": sizes.tobytes()}
-                yield pa.RecordBatch.from_pylist([row | {"sets": np.concatenate(sets).tobytes()}], schema=SETS)
-
-    blocks = stored(texts.mapInArrow(pack, "block long, nodes binary, sizes binary, sets binary"), "class-sets")
-    parts = part_count(spark, blocks.agg(F.sum(F.octet_length("sets"))).first()[0] or 0)
+            nodes, held, size, begin = batch.column(0).to_numpy(zero_copy_only=False), [], 0, 0
+            for at, text in enumerate(texts_of(batch.column(1)), 1):
+                held.append(shingles(text, names))
+                size += held[-1].nbytes
+                if at == len(nodes) or len(held) == 1024 or size >= BLOCK_SETS:
+                    sizes = np.array([len(x) for x in held], np.int64)
+                    row = {"block": int(nodes[begin]), "nodes": nodes[begin:at].tobytes(), "sizes": sizes.tobytes()}
+                    yield pa.RecordBatch.from_pylist([row | {"sets": np.concatenate(held).tobytes()}], schema=SETS)
+                    held, size, begin = [], 0, at
+
+    texts = stored(texts, "bounded-texts")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Words have about six bytes and are the starts of shingles of eight; several blocks of sets for each task.
+    packed = texts.coalesce(-(-size // BLOCK_SETS) or 1)
+    blocks = stored(packed.mapInArrow(released(pack), "block long, nodes binary, sizes binary, sets binary"), "class-sets")
+    parts = parts_of(blocks.agg(F.sum(F.octet_length("sets"))).first()[0] or 0, 4 << 20)
 
     def keys_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = np.unique(np.frombuffer(row["sets"], U64), return_counts=True)
@@ -252,7 +263,7 @@ def shingle_counts(texts: DataFrame, with_rare: bool = False) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(rows, schema=COUNTED)
 
     counted = attach(blocks, answer(ask(blocks, keys_of, parts), times_seen))
-    return counted.mapInArrow(count, "node long, size long, shared long, frequent long, shingle long, spectrum binary")
+    return counted.mapInArrow(released(count), "node long, size long, shared long, frequent long, shingle long, spectrum binary")
 
 
 def bounded_pairs(left: DataFrame, right: DataFrame, on: str, most_common) -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from shopbank.llm.words import Names, covered, window_names
+from shopbank.llm.words import Names, covered, released, window_names
 
 SYMBOLS = b"#*$%&|<>"
 #: Own list: what pages say around a text.
@@ -131,4 +131,4 @@ def cleaned(docs: DataFrame, text_column: str = "text", length_column: str | Non
                 columns[k] = pa.array(list(map(len, texts)), columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)

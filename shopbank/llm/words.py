@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,15 +33,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, which hands free memory back to the system when it ends; a worker that waits for its next task would hold it otherwise."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 class Names(dict):
-    """64-bit names of words, kept for words seen before; forgets all when it holds ``limit`` words."""
+    """64-bit names of words, kept for words seen before; forgets all when it holds ``limit`` words. Long words are named anew each time."""
 
     def __init__(self, limit: int = 1 << 18):
         super().__init__()
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
-        name = self[word] = xxhash.xxh3_64_intdigest(word)
+        name = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = name
         return name
 
     def of(self, words: list[bytes]) -> np.ndarray:
