@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopbank.sinks.commits import CommittedTable
+
 
 def append_table(df: DataFrame, target: str, file_format: str = "parquet") -> None:
     """Append to a path, or to a catalog table when the target has no slash; made if absent."""
@@ -12,6 +14,14 @@ def append_table(df: DataFrame, target: str, file_format: str = "parquet") -> No
     writer.save(target) if "/" in target else writer.saveAsTable(target)
 
 
+def append_once(df: DataFrame, target: str, run: str) -> bool:
+    """Append the rows of a named run, once: a run that is repeated, after a failure or by mistake, adds nothing.
+
+    ``CommittedTable(spark, target).read()`` reads the table.
+    """
+    return CommittedTable(df.sparkSession, target).add("runs", run, df)
+
+
 def overwrite_parquet(df: DataFrame, path: str, *partition_by: str) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 

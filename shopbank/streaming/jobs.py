@@ -31,11 +31,18 @@ def order_totals(spark: SparkSession, target: str) -> DataFrame:
     return sinks.summed(spark.read.parquet(target), ORDER_KEYS, "total_quantity")
 
 
-def _matches(spark: SparkSession, root: str, day: date | str) -> DataFrame:
+def join_salts(spark: SparkSession, checkpoint: str) -> int:
+    """Into how many tasks the transactions of one client are spread: the first start decides, as the join's state is laid out by it."""
+    wanted = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return sinks.kept_setting(spark, checkpoint, "salts", wanted)
+
+
+def _matches(spark: SparkSession, root: str, day: date | str, checkpoint: str) -> DataFrame:
     return ops.client_matches(
         read_day_stream(spark, root, "transactions", day, schemas.TRANSACTION_STREAM),
         read_day_stream(spark, root, "clients", day, schemas.CLIENT_STREAM),
         day,
+        salts=join_salts(spark, checkpoint),
     )
 
 
@@ -43,11 +50,32 @@ def start_client_matches(
     spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
 ) -> StreamingQuery:
     """Transactions with the client updates around them, below ``target``."""
-    return sinks.start_append(_matches(spark, root, day), target, checkpoint, every)
+    return sinks.start_append(_matches(spark, root, day, checkpoint), target, checkpoint, every)
+
+
+VERSION_KEY, VERSION_ORDER = ["transaction_id"], ["nearness", "client_time", "client_name", "account_type"]
+
+
+def nearest_versions(target: str) -> sinks.BatchWriter:
+    """Keeps, of the matches of each transaction so far, the one with the client version nearest in time; no other is stored."""
+    upsert = sinks.upsert(target, VERSION_KEY, VERSION_ORDER)
+
+    def write(matches: DataFrame, batch_id: int) -> None:
+        upsert(matches.withColumn("nearness", ops.nearness()), batch_id)
+
+    return write
+
+
+def start_client_totals(
+    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
+) -> StreamingQuery:
+    """Transactions with their nearest client version, one row each below ``target``; ``client_totals`` adds them up."""
+    return sinks.start_batches(_matches(spark, root, day, checkpoint), nearest_versions(target), checkpoint, every=every)
 
 
 def client_totals(spark: SparkSession, target: str) -> DataFrame:
-    return ops.client_totals(spark.read.parquet(target))
+    """Amount per client, each transaction counted once."""
+    return ops.matched_totals(sinks.latest_rows(spark, target, VERSION_KEY, VERSION_ORDER))
 
 
 def matched_increments(target: str) -> sinks.BatchWriter:
@@ -59,7 +87,7 @@ def start_matched_totals(
     spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
 ) -> StreamingQuery:
     """Amount by day and client version over all matches, as increments of each batch; no match is stored."""
-    return sinks.start_batches(_matches(spark, root, day), matched_increments(target), checkpoint, every=every)
+    return sinks.start_batches(_matches(spark, root, day, checkpoint), matched_increments(target), checkpoint, every=every)
 
 
 def matched_totals(spark: SparkSession, target: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import on_day
@@ -86,13 +86,17 @@ def client_matches(
 CLIENT_KEYS = ["event_date", "client_id", "client_name", "account_type"]
 
 
+def nearness() -> Column:
+    """Orders the matches of a transaction: the larger, the nearer the client version lies in time."""
+    return -F.abs(F.unix_micros("client_time") - F.unix_micros("transaction_time"))
+
+
 def client_totals(matches: DataFrame) -> DataFrame:
     """Amount per client from stored matches, each transaction counted once (batch).
 
     A transaction belongs to the client version nearest in time, the later one if two are equally near.
     """
-    distance = F.abs(F.unix_micros("client_time") - F.unix_micros("transaction_time"))
-    version = F.struct(-distance, F.col("client_time"), "client_name", "account_type")
+    version = F.struct(nearness(), F.col("client_time"), "client_name", "account_type")
     chosen = matches.groupBy("transaction_id", "event_date", "client_id", "amount").agg(
         F.max(F.struct(version.alias("order"), "client_name", "account_type")).alias("version")
     )

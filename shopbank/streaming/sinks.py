@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+
+from shopbank.sinks.commits import CommittedTable, LatestTable, State
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -56,58 +57,90 @@ def summed(stored: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return stored.groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def _existing(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def upsert(target: str, key: Sequence[str], order: Sequence[str], compact_at: int = 16) -> BatchWriter:
+    """Keeps the latest row of each key, by ``order``, in a table that ``latest_rows`` reads back.
+
+    Each batch adds the latest of its own rows and touches nothing else; a repeated batch adds nothing. When ``compact_at`` segments have
+    gathered, those that are due are made one.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = LatestTable(batch.sparkSession, target, key, order)
+        if table.write(batch, batch_id) and len(table.state().segments) >= compact_at:
+            table.compact()
+
+    return write
+
+
+def latest_rows(spark: SparkSession, target: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return LatestTable(spark, target, key, order).rows()
+
+
+def snapshot(target: str) -> BatchWriter:
+    """For complete mode: each batch is the whole result and takes the place of the one before; readers see either."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        CommittedTable(batch.sparkSession, target).add("stream", batch_id, batch, whole=True)
+
+    return write
+
+
+def kept_setting(spark: SparkSession, checkpoint: str, name: str, value: int) -> int:
+    """A number that is part of a stream's state layout: the value it had when the checkpoint began."""
+    table = CommittedTable(spark, f"{checkpoint}-settings")
+
+    def change(state: State) -> State | None:
+        return None if name in state.notes else replace(state, notes={**state.notes, name: value})
 
+    table.commit(change)
+    return table.state().notes[name]
 
-def upsert(target: str, key: Sequence[str], order: Sequence[str], partitions: int = 32) -> BatchWriter:
-    """Keeps the latest row of each key, by ``order``, in a Parquet table split by key hash.
 
-    Only the partitions a batch touches are rewritten. Their new content is staged whole beside the
-    table and then swapped in by dynamic partition overwrite. A batch repeated after a failure in
-    the middle of the swap finds its staged content complete and swaps again; one that failed
-    earlier starts over from the untouched table.
+#: Where an event stood to the events of earlier batches.
+ON_TIME, LATE, DROPPED = "on time", "late", "dropped"
+
+
+def routed_by_lateness(target: str, delay: str, time: str = "event_time") -> BatchWriter:
+    """Splits events as a watermark of that delay does, and keeps what it drops.
+
+    An event behind the latest of all earlier batches is late; one behind it by more than ``delay`` is dropped by stateful operators. Both
+    kinds and the events on time go to one table, under their own names, with the batch and the verdict, in one commit; the latest
+    event time is part of it, so a repeated batch is judged as the first time.
     """
-    staged = f"{target}__staged"
-
-    def latest(rows: DataFrame) -> DataFrame:
-        columns = [c for c in rows.columns if c not in ("part", *key)]
-        newest = F.max(F.struct(*order, *[c for c in columns if c not in order])).alias("row")
-        return rows.groupBy("part", *key).agg(newest).select("part", *key, *[F.col(f"row.{c}") for c in columns])
-
-    def stage(new: DataFrame, batch_id: int) -> None:
-        spark = new.sparkSession
-        old = _existing(spark, target, new.schema)
-        if old is not None:
-            # At most ``partitions`` rows; the table is read only where the batch touches it.
-            touched = new.select("part").distinct()
-            new = latest(new.unionByName(old.join(touched, "part", "left_semi")))
-        new.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(staged)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = latest(batch.withColumn("part", F.pmod(F.hash(*key), F.lit(partitions)))).persist()
-        schema = StructType([*new.schema.fields, StructField("batch_id", IntegerType())])
-        complete = _existing(spark, f"{staged}/_SUCCESS", schema) is not None
-        ready = complete and not _existing(spark, staged, schema).where(F.col("batch_id") == batch_id).isEmpty()
-        if not ready and not new.isEmpty():
-            stage(new, batch_id)
-            ready = True
-        if ready:
-            content = _existing(spark, staged, schema).drop("batch_id")
-            (
-                content.hint("rebalance", "part")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("part")
-                .parquet(target)
+        table = CommittedTable(batch.sparkSession, target)
+        state = table.state()
+        if state.applied.get("stream", -1) >= batch_id:
+            return
+        latest = state.notes.get("latest")
+        micros = F.unix_micros(time)
+        behind = F.timestamp_micros(F.lit(latest)) if latest is not None else F.lit(None).cast("timestamp")
+        bound = behind - F.expr(f"interval {delay}")
+        verdict = F.when(F.col(time) < bound, DROPPED).when(F.col(time) < behind, LATE).otherwise(ON_TIME)
+        seen = Observation()
+        rows = batch.withColumns({"batch": F.lit(batch_id), "verdict": verdict}).observe(seen, F.max(micros).alias("latest")).persist()
+        segments = [table.stage(rows.where(F.col("verdict") != DROPPED)), table.stage(rows.where(F.col("verdict") == DROPPED), "dropped")]
+        rows.unpersist()
+        found = max((x for x in (latest, seen.get["latest"]) if x is not None), default=None)
+        schema = rows.schema.json()
+
+        def change(now: State) -> State | None:
+            if now.applied.get("stream", -1) >= batch_id:
+                return None
+            return replace(
+                now, segments=(*now.segments, *[x for x in segments if x.rows]), applied={**now.applied, "stream": batch_id},
+                notes=now.notes if found is None else {**now.notes, "latest": found}, schemas={"rows": schema, "dropped": schema},
             )
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(staged)
-        new.unpersist()
+
+        table.commit(change)
 
     return write
+
+
+def lateness(spark: SparkSession, target: str) -> DataFrame:
+    """Events by batch and verdict."""
+    table = CommittedTable(spark, target)
+    state = table.state()
+    both = table.read(state=state).unionByName(table.read("dropped", state))
+    return both.groupBy("batch", "verdict").agg(F.count("*").alias("events"))

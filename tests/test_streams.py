@@ -1,5 +1,6 @@
 """Streams from day folders: duplicates, late rows, several batches, repeated batches."""
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shopbank.session import scratch_path
+from shopbank.sinks.commits import CommittedTable
 from shopbank.sources import schemas
 from shopbank.sources.streams import read_day_stream
 from shopbank.streaming import jobs, sinks
@@ -62,30 +64,6 @@ def test_repeated_batch_counts_once(spark, root):
     assert rows(sinks.summed(spark.read.parquet(root), ["k"], "v")) == [("a", 6)]
 
 
-def test_upsert_keeps_the_latest_row(spark, root):
-    target = f"{root}/table"
-    write = sinks.upsert(target, ["k"], ["t"], partitions=3)
-    first = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 2, "z")], "k string, t int, v string")
-    second = spark.createDataFrame([("a", 2, "late"), ("b", 5, "new"), ("c", 1, "w")], "k string, t int, v string")
-    for batch, batch_id in ((first, 0), (first, 0), (second, 1), (second, 1), (second.where("false"), 2)):
-        write(batch, batch_id)
-    got = spark.read.parquet(target).select("k", "t", "v")
-    assert rows(got) == [("a", 3, "y"), ("b", 5, "new"), ("c", 1, "w")]
-
-
-def test_upsert_survives_a_failure_in_the_swap(spark, root):
-    target = f"{root}/table"
-    write = sinks.upsert(target, ["k"], ["t"], partitions=1)
-    # Batch 1 staged its content, then died when the old partition was gone and the new one not yet there.
-    content = spark.createDataFrame([(0, "a", 2, 1), (0, "b", 1, 1)], "part int, k string, t int, batch_id int")
-    content.write.mode("overwrite").parquet(f"{target}__staged")
-    write(spark.createDataFrame([("a", 2)], "k string, t int"), 1)
-    assert rows(spark.read.parquet(target).select("k", "t")) == [("a", 2), ("b", 1)]
-    # The staged content is used up: the next batch starts from the table.
-    write(spark.createDataFrame([("b", 3)], "k string, t int"), 2)
-    assert rows(spark.read.parquet(target).select("k", "t")) == [("a", 2), ("b", 3)]
-
-
 def test_client_matches(spark, root):
     add_file(spark, root, "transactions", schemas.TRANSACTION_STREAM, [
         ("t1", "1", 10.0, at(10, 0)), ("t2", "1", 5.0, at(12, 0)), ("t3", "2", 1.0, at(10, 0)), ("t4", None, 1.0, at(10, 0)),
@@ -100,13 +78,21 @@ def test_client_matches(spark, root):
     assert rows(stored.select("transaction_id", "account_type")) == [("t1", "new"), ("t1", "old"), ("t3", "basic")]
     day = at(0).date()
     # Equally near updates: the later one is taken, and the amount counts once.
-    assert rows(jobs.client_totals(spark, target)) == [(day, "1", "Ana", "new", 10.0), (day, "2", "Ion", "basic", 1.0)]
+    nearest = f"{root}/nearest"
+    run(jobs.start_client_totals(spark, root, DAY, nearest, f"{root}/nearest-checkpoint", every=None))
+    assert rows(jobs.client_totals(spark, nearest)) == [(day, "1", "Ana", "new", 10.0), (day, "2", "Ion", "basic", 1.0)]
+    assert rows(ops.client_totals(stored)) == rows(jobs.client_totals(spark, nearest))
     totals = f"{root}/totals"
     run(jobs.start_matched_totals(spark, root, DAY, totals, f"{root}/totals-checkpoint", every=None))
     assert rows(jobs.matched_totals(spark, totals)) == rows(ops.matched_totals(stored))
     assert rows(ops.matched_totals(stored)) == [
         (day, "1", "Ana", "new", 10.0), (day, "1", "Ana", "old", 10.0), (day, "2", "Ion", "basic", 1.0),
     ]
+    # A nearer version in a later batch takes the place of the stored one; a farther one does not.
+    add_file(spark, root, "clients", schemas.CLIENT_STREAM, [("2", "Ion", "nearer", at(10, 1)), ("1", "Ana", "far", at(9, 55))])
+    run(jobs.start_client_totals(spark, root, DAY, nearest, f"{root}/nearest-checkpoint", every=None))
+    assert rows(jobs.client_totals(spark, nearest)) == [(day, "1", "Ana", "new", 10.0), (day, "2", "Ion", "nearer", 1.0)]
+    assert CommittedTable(spark, nearest).read().count() == 3
 
 
 def test_late_rows_are_dropped_behind_the_watermark(spark, root):
@@ -145,9 +131,9 @@ def test_running_sales_in_update_mode(spark, root):
 
     def stream():
         sales = ops.with_event_time(read_day_stream(spark, root, "sales", DAY, schema), "ts")
-        write = sinks.upsert(target, ["event_date", "client_id"], ["total_spent"], partitions=2)
+        write = sinks.upsert(target, ["event_date", "client_id"], ["total_spent"])
         run(sinks.start_batches(ops.running_daily_sales(sales), write, f"{root}/checkpoint", "update"))
-        return rows(spark.read.parquet(target).select("event_date", "client_id", "total_spent"))
+        return rows(sinks.latest_rows(spark, target, ["event_date", "client_id"], ["total_spent"]))
 
     day = at(0).date()
     add_file(spark, root, "sales", schema, [(1, 1.5, at(1)), (1, -3.0, at(2)), (2, 4.0, at(3))])
@@ -165,5 +151,41 @@ def test_static_join_keeps_unknown_rows(spark, salts):
 
 
 def test_preview(spark):
-    query = sinks.start_preview(spark.readStream.format("rate").load().limit(1), "preview")
-    query.stop()
+    query = sinks.start_preview(spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 5).load(), "preview")
+    try:
+        while not query.recentProgress:
+            assert query.exception() is None
+            time.sleep(0.2)
+        assert spark.table("preview").count() >= 5
+    finally:
+        query.stop()
+
+
+def test_complete_mode_swaps_whole_results(spark, root):
+    schema = "id string, v double, ts timestamp"
+
+    def stream():
+        events = ops.with_event_time(read_day_stream(spark, root, "events", DAY, schema), "ts")
+        sessions = ops.session_totals(events, "id", "v")
+        run(sinks.start_batches(sessions, sinks.snapshot(f"{root}/out"), f"{root}/checkpoint", "complete"))
+        return rows(CommittedTable(spark, f"{root}/out").read().select("id", "total", "events"))
+
+    add_file(spark, root, "events", schema, [("a", 1.0, at(10)), ("a", 2.0, at(10, 20))])
+    assert stream() == [("a", 1.0, 1), ("a", 2.0, 1)]
+    # The event between the two sessions makes them one.
+    add_file(spark, root, "events", schema, [("a", 4.0, at(10, 10)), ("b", 8.0, at(11))])
+    assert stream() == [("a", 7.0, 3), ("b", 8.0, 1)]
+
+
+def test_processing_time_trigger(spark, root):
+    schema = "id string, v double, ts timestamp"
+    add_file(spark, root, "events", schema, [("a", 1.0, at(10))])
+    events = ops.with_event_time(read_day_stream(spark, root, "events", DAY, schema), "ts")
+    query = sinks.start_append(events, f"{root}/out", f"{root}/checkpoint", every="1 second")
+    try:
+        query.processAllAvailable()
+        add_file(spark, root, "events", schema, [("b", 1.0, at(11))])
+        query.processAllAvailable()
+        assert rows(spark.read.parquet(f"{root}/out").select("id")) == [("a",), ("b",)]
+    finally:
+        query.stop()
