@@ -61,14 +61,13 @@ MATCHED = """matched as (
   from transactions t join discounts d on t.product_id = d.product_id
     and cast(t.transaction_date as date) between d.valid_from and d.valid_to
   group by all)"""
-ENDS = """ranked as (
-  select *, row_number() over (partition by product_id order by valid_date, price) as a,
-    row_number() over (partition by product_id order by valid_date desc, price desc) as z
-  from prices),
+ENDS = """outer_prices as (
+  select product_id, min({'day': valid_date, 'price': price}) as first, max({'day': valid_date, 'price': price}) as last
+  from prices group by product_id),
 ends as (
-  select f.product_id, f.price as first_price, f.valid_date as first_date, l.price as last_price,
-    l.valid_date as last_date, (l.price - f.price) / f.price as delta_pct
-  from ranked f join ranked l on f.product_id = l.product_id where f.a = 1 and l.z = 1)"""
+  select product_id, first['price'] as first_price, first['day'] as first_date, last['price'] as last_price, last['day'] as last_date,
+    (last['price'] - first['price']) / first['price'] as delta_pct
+  from outer_prices)"""
 LAGGED = f"""lagged as (
   select product_id, price, lag(price) over (partition by product_id order by valid_date, price) as prev
   from prices where {in_year('valid_date')})"""

@@ -12,6 +12,7 @@ from shopbank.plans import bank, retail
 from shopbank.plans.storage import store_products_and_top_customers
 from shopbank.session import scratch_path, shared_folder
 from shopbank.sinks import files as sinks
+from shopbank.sources import checked
 from shopbank.sources import files as sources
 from shopbank.sources import schemas
 
@@ -71,9 +72,9 @@ def test_weekly_parquet_has_one_file_a_week(spark, root, daily):
     assert {r.n for r in per_week.collect()} == {1}
 
 
-@pytest.mark.parametrize("weeks_at_once", [1, 3, 64])
-def test_weekly_csv_has_one_file_a_day(spark, root, daily, weeks_at_once):
-    sinks.write_weekly_csv(daily, root, weeks_at_once)
+@pytest.mark.parametrize("task_bytes", [1, 2000, 1 << 27])
+def test_weekly_csv_has_one_file_a_day(spark, root, daily, task_bytes):
+    sinks.write_weekly_csv(daily, root, task_bytes=task_bytes)
     stored = spark.read.schema(daily.schema).option("header", True).csv(root)
     assert stored.count() == 300
     path = F.col("_metadata.file_path")
@@ -156,3 +157,50 @@ def test_bank_jobs(spark, root):
     }
     assert written["loan_run_summary"][0].total_loans == 1
     assert written["spending_run_summary"][0].avg_spending == 20.0
+
+
+def test_files_of_a_hot_week_have_the_size_asked_for(spark, root, daily):
+    hot = spark.range(3000).selectExpr("uuid() as product_id", "date'2025-01-08' as valid_date", "rand() as price")
+    hot = hot.withColumns({"week_start": week_start(F.col("valid_date")), "day_in_week": day_in_week(F.col("valid_date"))})
+    both = daily.unionByName(hot).unionByName(daily.withColumn("product_id", F.repeat("product_id", 40))).cache()
+    target = 20_000
+    sinks.write_weekly_csv(both, root, file_bytes=target, task_bytes=target)
+    stored = spark.read.schema(both.schema).option("header", True).csv(root)
+    assert stored.count() == both.count()
+    sizes = stored.groupBy("week_start", F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_path")).count().collect()
+    large = [r["size"] for r in sizes if r["week_start"] == date(2025, 1, 8) and r["count"] > 100]
+    assert len(large) > 5 and all(target / 2 <= x <= 2 * target for x in large)
+    sinks.write_weekly_parquet(daily, f"{root}-again", task_bytes=2000)
+    files = spark.read.parquet(f"{root}-again").groupBy("week_start").agg(F.count_distinct("_metadata.file_path").alias("n")).collect()
+    assert {r["n"] for r in files} == {1}
+
+
+def test_small_weeks_share_tasks(spark, daily):
+    plan = sinks.file_plan(daily, ["week_start", "day_in_week"], 1 << 28, 1 << 27).collect()
+    assert {t.task for r in plan for t in r["tasks"]} == set(range(7))
+    for week in {r["week_start"] for r in plan}:
+        tasks = [t.task for r in plan for t in r["tasks"] if r["week_start"] == week]
+        assert len(tasks) == len(set(tasks))
+
+
+def test_stored_rows_come_from_the_footers(spark, root):
+    spark.range(1000).write.parquet(f"{root}/full")
+    spark.range(0).write.parquet(f"{root}/empty")
+    assert sinks.stored_rows(spark, f"{root}/full") == 1000 and sinks.require_stored(spark, f"{root}/full").count() == 1000
+    for name in ("empty", "absent"):
+        assert sinks.stored_rows(spark, f"{root}/{name}") == 0
+        with pytest.raises(ValueError, match="no rows"):
+            sinks.require_stored(spark, f"{root}/{name}")
+    spark.createDataFrame([], "a int").coalesce(1).write.mode("overwrite").parquet(f"{root}/empty")
+    assert sinks.stored_rows(spark, f"{root}/empty") == 0
+
+
+def test_refused_records_keep_reason_and_file(spark, root):
+    write_lines(spark, f"{root}/day=1", ["k,n,t,s", "1,2,2024-01-01 00:00:00,a", "2,x,never,b", "3,4", '"4",5,,"with, comma"', "5,,,", "6,7,2024-01-01 00:00:00,c,more", ""])
+    records = checked.read_checked_csv(spark, root + "/*", "k long, n int, t timestamp, s string", files="*.txt")
+    assert rows(checked.accepted(records).select("k", "n", "s")) == sorted([(1, 2, "a"), (4, 5, "with, comma"), (5, None, None)], key=repr)
+    bad = {r["record"]: r["reason"] for r in checked.quarantined(records).collect()}
+    assert bad == {"2,x,never,b": "n,t", "3,4": "shape", "6,7,2024-01-01 00:00:00,c,more": "shape"}
+    assert {r[0].split("day=")[1][0] for r in checked.quarantined(records).select("source_file").collect()} == {"1"}
+    # Both outputs agree whatever columns a query takes.
+    assert checked.accepted(records).select("s").count() == 3
