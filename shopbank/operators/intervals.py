@@ -1,10 +1,11 @@
 """Interval join of dated facts with validity windows.
 
 A join on the product alone, with the window as a residual, compares every fact of a product with
-every window of it and puts a hot product into one task. Here the windows are spread over the
-calendar weeks they touch (one week for the usual Wednesday-to-Tuesday discount), so that the join
-key is (product, week): an equi join whose hot product is split by week. A window costs one row for
-each of its weeks, so callers that look at one period only should cut windows to it.
+every window of it and puts a hot product into one task. Here a window is taken apart into aligned
+ranges of 1, 2, 4, ... business weeks, and a fact looks up the one range of each length that its week lies
+in: an equi join on (product, length, range). A Wednesday-to-Tuesday discount is one range; a window
+of n weeks is at most 2 log2(n) of them, one of ten years fewer than 20. Facts look up those lengths only
+that some window has, so without long windows they are not repeated.
 """
 
 from __future__ import annotations
@@ -14,30 +15,58 @@ from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import day_in_week, week_start
 
+#: Ranges of up to 2^20 weeks, which is more than dates can span.
+LEVELS = 20
 
-def spread_over_weeks(windows: DataFrame, first: Column, last: Column) -> DataFrame:
-    """One row per window and touched week, in the column ``week_start``. Empty windows give none."""
-    weeks = F.sequence(week_start(first), week_start(last), F.expr("interval 7 days"))
-    return windows.where(first <= last).select("*", F.explode(weeks).alias("week_start"))
+
+def week_number(day: Column) -> Column:
+    """Number of the business week a day is in."""
+    return F.floor(F.unix_date(week_start(day)) / 7).cast("int")
+
+
+def week_ranges(low: str, high: str) -> Column:
+    """Structs (level, range) that tile the weeks ``low`` to ``high``: the weeks from range * 2^level on, 2^level of them.
+
+    At each level the ranges inside the window run from ``a`` to ``b``. All but an odd one at the left end and an even one at the right end are
+    halves of ranges of the next level that lie inside too.
+    """
+    a, b = f"shiftright({low} + shiftleft(1, k) - 1, k)", f"shiftright({high} + 1, k) - 1"
+    tiles = [f"if({a} <= {b} and pmod({x}, 2) = {odd}, struct(k as level, {x} as range), null)" for x, odd in ((a, 1), (b, 0))]
+    return F.expr(f"array_distinct(array_compact(flatten(transform(sequence(0, {LEVELS}), k -> array({', '.join(tiles)})))))")
+
+
+def spread_over_ranges(windows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """One row per window and range of weeks, in the columns ``level`` and ``range``. Empty windows give none."""
+    weeks = windows.where(first <= last).withColumns({"_low": week_number(first), "_high": week_number(last)})
+    tiled = weeks.withColumn("_tile", F.explode(week_ranges("_low", "_high")))
+    return tiled.select(*windows.columns, F.col("_tile.level").alias("level"), F.col("_tile.range").alias("range"))
 
 
 def days_in_windows(
     facts: DataFrame, day: str, windows: DataFrame, first: Column, last: Column, key: str = "product_id"
 ) -> DataFrame:
-    """Every fact joined with every window of its key that holds its day (both ends included).
+    """Every fact joined with every window of its key that holds its day (both ends included), once.
 
     ``facts`` should already be reduced to one row per key and day, which leaves at most seven of
-    them under one join key. ``first`` and ``last`` are expressions over ``windows``, which must not
+    them for a week. ``first`` and ``last`` are expressions over ``windows``, which must not
     share other names than the key with ``facts``.
     """
-    dated = facts.withColumn("week_start", week_start(F.col(day)))
-    pairs = dated.join(spread_over_weeks(windows, first, last), [key, "week_start"])
-    return pairs.where(F.col(day).between(first, last)).drop("week_start")
+    ranges = spread_over_ranges(windows, first, last)
+    levels = ranges.agg(F.collect_set("level")).scalar()
+    dated = facts.withColumn("level", F.explode(levels)).withColumn("range", _range_of(day))
+    pairs = dated.join(ranges, [key, "level", "range"])
+    return pairs.where(F.col(day).between(first, last)).drop("level", "range")
 
 
-def week_number(day: Column) -> Column:
-    """Number of the business week a day is in."""
-    return F.floor(F.unix_date(week_start(day)) / 7).cast("int")
+def _range_of(day: str) -> Column:
+    """The range of length 2^level in which a day's week lies."""
+    return F.call_function("shiftright", week_number(F.col(day)), F.col("level"))
+
+
+def spread_over_weeks(windows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """One row per window and touched week, in the column ``week_start``. Empty windows give none."""
+    weeks = F.sequence(week_start(first), week_start(last), F.expr("interval 7 days"))
+    return windows.where(first <= last).select("*", F.explode(weeks).alias("week_start"))
 
 
 def days_covered(windows: DataFrame, first: str, last: str, key: str = "product_id") -> DataFrame:
