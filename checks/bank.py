@@ -215,7 +215,6 @@ from spending_report"""),
 select e.*, u.country from user_events e join users u using (user_id)
 where e.event_time >= date '{RECENT_AS_OF}' - interval 7 days"""),
     Check("visits_by_hour", lambda v: activity.visits_by_hour(v.visits), VISITS),
-    Check("assert_not_empty", lambda v: activity.require_rows(activity.visits_by_hour(v.visits)), VISITS),
     Check(
         "latency_by_dataproduct",
         lambda v: activity.latency_by_dataproduct(v.latency_events, LATENCY_AS_OF),

@@ -75,6 +75,13 @@ def _stored_visits(v):
     return files.require_stored(v.spark, path)
 
 
+def _ordered_report(v):
+    """Customers by what they bought, as stored, with their place in the files."""
+    path = scratch_path(v.spark, "ordered-report")
+    files.write_ordered(baskets.products_per_customer(v.transactions), path, F.col("total_items").desc(), "customer_id")
+    return files.read_ordered(v.spark, path)
+
+
 ORDER_COLUMNS = "order_id long, quantity int, type string, date timestamp"
 
 
@@ -164,8 +171,12 @@ select customer_id, cast(sum(quantity) as bigint) as total_items, count(distinct
 select customer_id, cast(sum(quantity) as bigint) as total_items, count(distinct product_id) as distinct_products,
   count(distinct transaction_id) as transactions, day from transactions, (values ('2024-01-15'), ('2024-01-16')) as days(day)
 group by 1, day"""),
-    Check("stored_output", _stored_visits, """
+    Check("assert_not_empty", _stored_visits, """
 select user_id, count(*) as visits, cast(hour(ts) as int) as hour from visits group by 1, 3"""),
+    Check("ordered_report", _ordered_report, """
+select *, row_number() over (order by total_items desc, customer_id) as position from (
+  select customer_id, cast(sum(quantity) as bigint) as total_items, count(distinct product_id) as distinct_products,
+    count(distinct transaction_id) as transactions from transactions group by 1)"""),
     Check("csv_quarantine", _csv_quarantine, REFUSED),
     Check("csv_quarantine_stream", _csv_quarantine_stream, REFUSED),
     Check("json_quarantine", _json_quarantine, """

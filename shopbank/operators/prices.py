@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from shopbank.functions.calendar import as_date, week_start, within_year
 from shopbank.functions.money import exact_avg, from_exact, to_exact
 from shopbank.functions.rows import having
-from shopbank.operators.intervals import days_in_windows
 
 
 def valid_prices(prices: DataFrame) -> DataFrame:
@@ -162,20 +161,20 @@ def increase_before_discount(prices: DataFrame, discounts: DataFrame) -> DataFra
     listed = having(discounts, "discount_id", "product_id", "valid_from").select(
         "discount_id", "product_id", "valid_from"
     )
-    # Discounts of a product that start on the same day share their means.
-    starts = listed.select("product_id", "valid_from").distinct()
-    start = F.col("valid_from")
-    pairs = days_in_windows(daily, "valid_date", starts, F.date_sub(start, 14), F.date_sub(start, 1))
-    near = F.col("valid_date") >= F.date_sub(start, 7)
+    # Discounts of a product that start on the same day share their means. A start is a day without a price of its own; products have as many
+    # rows as days here, so sums over frames of days need no join.
+    starts = listed.select("product_id", F.col("valid_from").alias("valid_date")).distinct()
+    days = daily.withColumn("start", F.lit(False)).unionByName(starts.withColumn("start", F.lit(True)), allowMissingColumns=True)
+    by_day = Window.partitionBy("product_id").orderBy(F.unix_date("valid_date"))
 
-    def mean(rows: Column) -> Column:
-        total = F.sum(F.when(rows, F.col("price_sum")))
-        return F.try_divide(from_exact(total), F.sum(F.when(rows, F.col("rows"))))
+    def mean(first: int, last: int) -> Column:
+        frame = by_day.rangeBetween(first, last)
+        return F.try_divide(from_exact(F.sum("price_sum").over(frame)), F.sum("rows").over(frame))
 
     risen = (
-        pairs.groupBy("product_id", "valid_from")
-        .agg(mean(near).alias("price_near"), mean(~near).alias("price_far"))
-        .where("price_near > price_far")
+        days.withColumns({"price_near": mean(-7, -1), "price_far": mean(-14, -8)})
+        .where("start and price_near > price_far")
+        .select("product_id", F.col("valid_date").alias("valid_from"), "price_near", "price_far")
     )
     return (
         listed.distinct()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopbank.sinks.commits import CommittedTable
@@ -84,6 +84,23 @@ def _planned(df: DataFrame, keys: list[str], file_bytes: int, task_bytes: int) -
     return placed.repartitionById(n, "_task").drop("_task")
 
 
+def write_ordered(df: DataFrame, path: str, *order: str | Column) -> None:
+    """A report in a total order over its files, in the order of their names: ranges of the order are found by sampling, and each is sorted
+    by a task of its own."""
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """A report as ``write_ordered`` stored it, with the ``position`` of each row, from 1."""
+    rows = spark.read.parquet(path)
+    rows = rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    position = (F.col("_before") + F.col("_row") + 1).alias("position")
+    return rows.join(files, "_file").select(*[c for c in rows.columns if c not in ("_file", "_row")], position)
+
+
 def write_text(lines: DataFrame, path: str) -> None:
     """A single text file, for short reports such as a top-100 list."""
     lines.coalesce(1).write.mode("overwrite").text(path)

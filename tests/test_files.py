@@ -204,3 +204,11 @@ def test_refused_records_keep_reason_and_file(spark, root):
     assert {r[0].split("day=")[1][0] for r in checked.quarantined(records).select("source_file").collect()} == {"1"}
     # Both outputs agree whatever columns a query takes.
     assert checked.accepted(records).select("s").count() == 3
+
+
+def test_ordered_reports_keep_a_total_order_over_files(spark, root):
+    df = spark.range(5000).selectExpr("id", "pmod(hash(id), 50) as score", "id % 7 as n").repartition(6)
+    sinks.write_ordered(df, root, F.col("score").desc(), "id")
+    got = sinks.read_ordered(spark, root).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(1, 5001)) and got[0].asDict().keys() == {"id", "score", "n", "position"}
+    assert [(-r["score"], r["id"]) for r in got] == sorted((-r["score"], r["id"]) for r in got)
