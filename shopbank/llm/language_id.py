@@ -33,13 +33,30 @@ TEXT_WEIGHT = 0.2
 STRENGTH = 5.0
 MOST_LANGUAGES = 256
 
-_SKIPPED = re.compile(rb"<(script|style|nav|head)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+_OPENING = re.compile(rb"<(script|style|nav|head)\b|<!--", re.I)
+_CLOSING = {name: re.compile(rb"</" + name + rb"\s*>", re.I) for name in (b"script", b"style", b"nav", b"head")} | {None: re.compile(rb"-->")}
 _TAG = re.compile(rb"<[^>]*>")
 
 
 def visible(html: bytes) -> bytes:
-    """Text of a page without scripts, styles, menus, head and tags."""
-    return b" ".join(_TAG.sub(b" ", _SKIPPED.sub(b" ", html)).split())
+    """Text of a page without scripts, styles, menus, head and tags, in time linear in the page.
+
+    An element that is not closed is only a tag; that it has no end is found out once for each kind. A ``<`` behind the last ``>`` is text.
+    """
+    kept, at, searched, unclosed = [], 0, 0, set()
+    while opening := _OPENING.search(html, searched):
+        kind = opening[1] and opening[1].lower()
+        closing = None if kind in unclosed else _CLOSING[kind].search(html, opening.end())
+        if closing:
+            kept.append(html[at : opening.start()])
+            at = searched = closing.end()
+        else:
+            unclosed.add(kind)
+            searched = opening.start() + 1
+    kept.append(html[at:])
+    rest = b" ".join(kept)
+    tagged = rest.rfind(b">") + 1
+    return b" ".join((_TAG.sub(b" ", rest[:tagged]) + rest[tagged:]).split())
 
 
 def language_counts(labelled: DataFrame) -> DataFrame:

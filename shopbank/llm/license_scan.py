@@ -86,22 +86,19 @@ def aligned(template: np.ndarray, words: np.ndarray, diagonal: int) -> list[tupl
     m, width = len(template), 2 * BAND + 1
     score = np.zeros((m + 1, width + 2), np.int64)
     step = np.zeros((m + 1, width + 2), np.int8)
-    best = (0, 0, 0)
+    band = np.arange(width)
+    at = diagonal - BAND + np.arange(m)[:, None] + band
+    inside = (at >= 0) & (at < len(words))
+    gain = np.where(words[np.where(inside, at, 0)] == template[:, None], 2, -1)
     for i in range(1, m + 1):
-        for k in range(1, width + 1):
-            j = diagonal + i - 1 + k - 1 - BAND
-            if not 0 <= j < len(words):
-                continue
-            options = (
-                (score[i - 1, k] + (2 if template[i - 1] == words[j] else -1), 1),
-                (score[i - 1, k + 1] - 1, 2),
-                (score[i, k - 1] - 1, 3),
-                (0, 0),
-            )
-            score[i, k], step[i, k] = max(options, key=lambda x: x[0])
-            if score[i, k] > best[0]:
-                best = (int(score[i, k]), i, k)
-    _, i, k = best
+        # A row at once: what comes from the left is a running maximum that falls by one with each place.
+        straight, above = score[i - 1, 1:-1] + gain[i - 1], score[i - 1, 2:] - 1
+        row = np.maximum.accumulate(np.where(inside[i - 1], np.maximum(np.maximum(straight, above), 0), 0) + band) - band
+        row[~inside[i - 1]] = 0
+        left = np.concatenate(([-1], row[:-1] - 1))
+        kinds = np.where(row == straight, 1, np.where(row == above, 2, np.where(row == left, 3, 0)))
+        score[i, 1:-1], step[i, 1:-1] = row, np.where(inside[i - 1], kinds, 0)
+    i, k = np.unravel_index(int(score.argmax()), score.shape)
     out = []
     while step[i, k]:
         kind, j = step[i, k], diagonal + i - 1 + k - 1 - BAND
