@@ -45,7 +45,7 @@ STAGES = [
     ("shards", shards),
 ]
 
-#: Near-copy groups and shards of minimax capacity can't be said in one SQL statement; tests/llm has brute-force versions.
+#: Shards of minimax capacity can't be said in one SQL statement. tests/llm holds each stage's operator against a brute-force version.
 ORACLE_SQL = None
 
 
