@@ -272,5 +272,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
         clean = [not contaminated(n, int((hit[:, 1] - hit[:, 0]).sum())) for n, hit, _ in found]
         return batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(by_shard(gathered_phrases(benchmark, width), docs.columns.index("text"), finish), docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    scanned = plain.mapInArrow(by_shard(gathered_phrases(benchmark, width), docs.columns.index("text"), finish), plain.schema)
+    return scanned.toDF(*docs.columns)
 

@@ -443,11 +443,14 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     rows, named = grouped(docs)
     stays = named.select("component_id", "component_key").distinct()
-    counts = rows.where("n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("__rows"))
+    counts = rows.where("n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
     same = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("component_key"))
-    kept = counts.join(stays, same).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__rows")
-    found = docs.where(~without_words(F.col("text"))).withColumn("__text", F.xxhash64("text"))
-    found = found.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")))
-    once = found.where("__rows = 1").select(docs.columns)
-    several = found.where("__rows > 1").dropDuplicates(["__id", "__key"]).select(docs.columns)
-    return once.unionByName(several).unionByName(docs.where(without_words(F.col("text"))))
+    kept = counts.join(stays, same).select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "n")
+    # The documents travel as one column, so that no name of theirs can clash.
+    packed, text = docs.select(F.struct("*").alias("document")), F.col("document").getField("text")
+    own_id = F.col("document").getField("doc_id").cast("long")
+    found = packed.where(~without_words(text)).join(kept, own_id.eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("key")))
+    once = found.where("n = 1").select("document")
+    several = found.where("n > 1").dropDuplicates(["id", "key"]).select("document")
+    all_kept = once.unionByName(several).unionByName(packed.where(without_words(text)))
+    return all_kept.select(*[F.col("document").getField(c).alias(c) for c in docs.columns])

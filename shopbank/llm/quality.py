@@ -113,22 +113,23 @@ def line_quality(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def cleaned(docs: DataFrame, text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
     """The documents kept, with their failing lines taken out. All columns stay; a column of text lengths is set anew."""
-    schema = docs.schema
+    names_of = docs.columns
+    text_at, length_at = names_of.index(text_column), names_of.index(length_column) if length_column in names_of else None
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names_of))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = Names()
         for batch in batches:
-            at, keep, texts = batch.schema.get_field_index(text_column), [], []
-            for i, text in enumerate(batch.column(at).to_pylist()):
+            keep, texts = [], []
+            for i, text in enumerate(batch.column(text_at).to_pylist()):
                 figures, lines = judged(text, names)
                 if figures["kept"]:
                     keep.append(i)
                     texts.append("\n".join(lines))
             columns = list(batch.take(pa.array(keep, pa.int64())).columns)
-            columns[at] = pa.array(texts, columns[at].type)
-            if length_column in batch.schema.names:
-                k = batch.schema.get_field_index(length_column)
-                columns[k] = pa.array(list(map(len, texts)), columns[k].type)
+            columns[text_at] = pa.array(texts, columns[text_at].type)
+            if length_at is not None:
+                columns[length_at] = pa.array(list(map(len, texts)), columns[length_at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(released(run), schema)
+    return plain.mapInArrow(released(run), plain.schema).toDF(*names_of)
