@@ -5,8 +5,9 @@ mark. A word's merged form is the one sequence of tokens of which each two neigh
 each prefix, with a count one above that of the prefix before it, follows from earlier prefixes: ``last[i]`` is the token
 that ends at i and gets on with ``last`` at its start. The same step with the end mark gives the count if the text ended there.
 
-A text's count at a prefix is that of its whole words before plus that of the cut word; so truncation and budget questions are
-looked up, not encoded again. Words are remembered per worker, in two generations of bounded size; getting-on is
+A text's count at a prefix is that of its whole words before plus that of the cut word. ``run_table`` stores the counts at the ends of
+all runs between spaces; ``token_prefixes`` stores them at every character. Lengths and budgets are looked up there: a count is an entry, a budget
+a binary search and the prefixes of one run; no text is encoded again. Words are remembered per worker, in two generations of bounded size; getting-on is
 remembered for pairs of tokens. Special tokens inside a text count as one, as the library has it by default.
 
 One pass over the rows, no shuffle; the vocabulary, a file of known size, is broadcast.
@@ -18,7 +19,6 @@ are the text's own unless composing or lower-casing changes a character's length
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -26,12 +26,16 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 END = "</w>"
 #: Words a worker remembers in each generation.
 REMEMBERED = 400_000
+#: Longer runs, in characters, are not remembered.
+LONG_RUN = 64
+#: Documents whose tables leave a task together.
+ROWS = 500
 _PAIRS = 1_000_000
-_CONTROL = re.compile("[\x1c-\x1f]")
 
 
 def byte_characters() -> list[str]:
@@ -194,16 +198,19 @@ class PrefixCounter:
         return out
 
     def chunk(self, chunk: str) -> int:
-        """Tokens of a run without white space. What it reads is remembered, run by run and word by word."""
+        """Tokens of a run without spaces. What it reads is remembered, run by run and word by word, long runs aside."""
         known = self.chunks.get(chunk)
         if known is None:
             known = 0
             for word in self.words.findall(chunk):
                 n = self.pieces.get(word)
                 if n is None:
-                    n = self.pieces[word] = self.word_prefixes(self.in_bytes(word), False)[0]
+                    n = self.word_prefixes(self.in_bytes(word), False)[0]
+                    if len(word) <= LONG_RUN:
+                        self.pieces[word] = n
                 known += n
-            self.chunks[chunk] = known
+            if len(chunk) <= LONG_RUN:
+                self.chunks[chunk] = known
         return known
 
     @staticmethod
@@ -221,20 +228,28 @@ class PrefixCounter:
             at = match.end()
         yield self.normal(text[at:]), ""
 
-    def total(self, text: str) -> int:
-        n = 0
+    def run_ends(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """For each run of the text, its end and the tokens of the prefix up to there.
+
+        Runs are what single spaces part, each with its space, and special tokens. An empty text has one run, which is empty.
+        """
+        lengths, tokens = [], []
         for segment, special in self.segments(text):
-            # split() also splits at four control characters that the pattern takes for symbols
-            chunks = self.words.findall(segment) if _CONTROL.search(segment) else segment.split()
-            young = self.chunks.young
-            for chunk in chunks:
-                known = young.get(chunk)
-                if known is None:
-                    known = self.chunk(chunk)
-                    young = self.chunks.young
-                n += known
-            n += bool(special)
-        return n
+            chunks, get = segment.split(" "), self.chunks.young.get
+            lengths += map(len, chunks)
+            # The spaces go to the runs before them.
+            lengths[-len(chunks) : -1] = [n + 1 for n in lengths[-len(chunks) : -1]]
+            found = list(map(get, chunks))
+            if None in found:
+                found = [self.chunk(chunk) if n is None else n for n, chunk in zip(found, chunks, strict=True)]
+            tokens += found
+            if special:
+                lengths.append(len(special))
+                tokens.append(1)
+        return np.cumsum(lengths, dtype=np.int64), np.cumsum(tokens, dtype=np.int64)
+
+    def total(self, text: str) -> int:
+        return int(self.run_ends(text)[1][-1])
 
     def prefixes(self, text: str) -> np.ndarray:
         """Token counts of text[:i] for i from 0 to the length (of the normal form, if that differs)."""
@@ -256,24 +271,25 @@ class PrefixCounter:
             n += int(counts[-1])
         return np.cumsum(steps)
 
-    def fitting(self, text: str, budget: int) -> int:
-        """Length of the longest prefix of at most ``budget`` tokens.
+    def fitting(self, text: str, ends: np.ndarray, tokens: np.ndarray, budget: int) -> int:
+        """Length of the longest prefix of at most ``budget`` tokens, by the text's ``run_ends``.
 
-        Whole words are added up until one exceeds the budget; a longer prefix holds that word whole, so the end lies in it.
+        They are searched for the run in which the budget ends: a longer prefix holds that run whole. Only this run is looked into.
         """
-        n = begin = 0
-        for segment, special in self.segments(text):
-            for match in self.words.finditer(segment):
-                word = self.chunk(match[0])
-                if n + word > budget:
-                    counts = self.piece(match[0])
-                    return begin + match.start() + max(k for k in range(len(counts) + 1) if not k or n + counts[k - 1] <= budget)
-                n += word
-            if n + bool(special) > budget:  # cut inside, a special token is ordinary text
-                return int(np.flatnonzero(self.prefixes(text) <= budget)[-1])
-            n += bool(special)
-            begin += len(segment) + len(special)
-        return begin
+        at = int(np.searchsorted(tokens, budget, side="right"))
+        if at == len(ends):
+            return int(ends[-1])
+        begin, n = (int(ends[at - 1]), int(tokens[at - 1])) if at else (0, 0)
+        run = "".join(a + b for a, b in self.segments(text))[begin : int(ends[at])]
+        if self.special.fullmatch(run):  # cut inside, a special token is ordinary text
+            return int(np.flatnonzero(self.prefixes(text) <= budget)[-1])
+        for match in self.words.finditer(run):
+            word = self.chunk(match[0])
+            if n + word > budget:
+                counts = self.piece(match[0])
+                return begin + match.start() + max(k for k in range(len(counts) + 1) if not k or n + counts[k - 1] <= budget)
+            n += word
+        raise AssertionError("a run over the budget has a word over it")
 
 
 class Vocabulary:
@@ -303,23 +319,42 @@ def counter_of(vocabulary: Vocabulary) -> PrefixCounter:
     return _COUNTERS[vocabulary.id]
 
 
-def token_counts(docs: DataFrame, path: str, budget: int) -> DataFrame:
-    """For each document: bytes, tokens, and the length of the longest prefix that fits into the budget."""
+TABLE = pa.schema(
+    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("run_ends", pa.list_(pa.int32())), ("run_tokens", pa.list_(pa.int32())), ("fitting_chars", pa.int64())]
+)
+
+
+def run_table(docs: DataFrame, path: str, budget: int) -> DataFrame:
+    """For each document: bytes, the end of each run and the tokens of the prefix up to it, and the longest prefix that fits into the budget.
+
+    The length of that prefix is read from the two arrays and the counts at all prefixes of the one run in which the budget ends.
+    """
     vocabulary = Vocabulary(docs, path)
-    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_bytes", "n_tokens", "fitting_chars")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = counter_of(vocabulary)
-        for batch in batches:
-            rows = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text = text or ""
-                n = counter.total(text)
-                fits = len(text) if n <= budget else counter.fitting(text, budget)
-                rows.append({"doc_id": i, "n_bytes": len(text.encode()), "n_tokens": n, "fitting_chars": fits})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        for whole in batches:
+            for begin in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(begin, ROWS)
+                sizes, ends, tokens, fits = [], [], [], []
+                for text in batch.column(1).to_pylist():
+                    text = text or ""
+                    own = counter.run_ends(text)
+                    sizes.append(len(text.encode()))
+                    ends.append(own[0].astype(np.int32))
+                    tokens.append(own[1].astype(np.int32))
+                    fits.append(len(text) if own[1][-1] <= budget else counter.fitting(text, *own, budget))
+                arrays = [pa.array(sizes, pa.int64()), pa.array(ends, pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int32())), pa.array(fits, pa.int64())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], schema=TABLE)
+
+    columns = "doc_id long, n_bytes long, run_ends array<int>, run_tokens array<int>, fitting_chars long"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, fitting_chars long")
+def token_counts(docs: DataFrame, path: str, budget: int) -> DataFrame:
+    """For each document: bytes, tokens, and the length of the longest prefix that fits into the budget; tokens are the last entry of its table."""
+    n = F.element_at("run_tokens", -1).cast("long").alias("n_tokens")
+    return run_table(docs, path, budget).select("doc_id", "n_bytes", n, "fitting_chars")
 
 
 def token_prefixes(docs: DataFrame, path: str) -> DataFrame:

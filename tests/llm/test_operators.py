@@ -250,12 +250,15 @@ def test_every_prefix():
     for text in (
         "", "it's they're we'll I've o'clock", "a<|endoftext|>b <|startoftext|>!!", "!!<|endoftext|> x", "你好世界 123 4567", "$$$%%% |a|b|",
         "naïve—“quoted”…", "x" * 60, " \x1c\x1fq \n", "antidisestablishmentarianism unbelievable", "🎉🎉 emoji",
+        "  two  spaces \n\tand lines\nof words ", "<|endoftext|>", "a <|endoftext|> b", "run" * 40 + "\n" + "on" * 40 + " end",
     ):
         got = counter.prefixes(text)
         assert got.tolist() == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
         assert counter.total(text) == got[-1]
+        ends, tokens = counter.run_ends(text)
+        assert ends[-1] == len(text) and tokens.tolist() == got[ends].tolist()
         for budget in (0, 1, 4, 9):
-            assert counter.fitting(text, budget) == max(i for i, n in enumerate(got) if n <= budget)
+            assert counter.fitting(text, *counter.run_ends(text), budget) == max(i for i, n in enumerate(got) if n <= budget)
 
 
 def test_mixing(docs, texts, empty):
