@@ -45,7 +45,7 @@ STAGES = [
     ("shards", shards),
 ]
 
-#: Shards of minimax capacity can't be said in one SQL statement. tests/llm holds each stage's operator against a brute-force version.
+#: Shards of minimax capacity can't be said in one SQL statement. tests/llm/test_pipeline_rows.py holds run() against a brute-force chain.
 ORACLE_SQL = None
 
 
