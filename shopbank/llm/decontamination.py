@@ -6,8 +6,9 @@ of words that the benchmark knows; no phrase reaches beyond such a run, and a ru
 none. Over the runs it builds an FM-index (suffix order, wavelet matrix of the BWT, sampled suffix places), finds all phrases
 by backward search at once, locates their occurrences by walking to the next sampled place, and merges them into spans.
 
-Nothing is shuffled. The phrases are broadcast in pieces of at most ``PIECE_BYTES`` of benchmark text, which the driver
-gathers one at a time; a benchmark of any size is only more pieces, each searched by the same tasks.
+The documents are not shuffled and nothing is broadcast. Tasks make the phrases of pieces of about ``PIECE_BYTES`` of benchmark text,
+long items cut into overlapping parts, and write a file for each below the shared folder, which Python must be able to read as well
+(pyarrow's file systems). A task searches its shard for one piece after the other and holds one, two while it reads the next.
 
 Defined results: a null or empty text has no words and no hits; an item without words has no phrase. Equal phrases of several items count
 for each of them; rows of one item_id are one item; a null item_id is the item named "". Documents are judged row by row, so null
@@ -17,19 +18,26 @@ alone, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import pickle
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyarrow import parquet
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopbank.llm.scratch import stored
 from shopbank.llm.words import covered, released, spans, texts_of
 
 WIDTH = 13
 SHARD_WORDS = 1 << 20
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
+#: Longer items are cut into parts of so many windows.
+PART_WINDOWS = 1 << 13
 #: Every so many places of a run are sampled.
 SAMPLE = 8
 
@@ -176,7 +184,7 @@ def occurrences(words: np.ndarray, document: np.ndarray, phrases: Phrases) -> tu
     return np.repeat(found, counts), index.locate(rows)
 
 
-def scan(texts: list[bytes], pieces: list[Phrases]) -> list[tuple[int, np.ndarray, list[str]]]:
+def scan(texts: list[bytes], pieces: Iterable[Phrases]) -> list[tuple[int, np.ndarray, list[str]]]:
     """For each text: number of words, merged spans of hit words, and names of the items that occur."""
     lengths, hits, items = np.zeros(len(texts), np.int64), None, [set() for _ in texts]
     for phrases in pieces:
@@ -206,27 +214,58 @@ def scan(texts: list[bytes], pieces: list[Phrases]) -> list[tuple[int, np.ndarra
     ]
 
 
-def gathered_phrases(benchmark: DataFrame, width: int = WIDTH) -> list:
-    """Broadcast pieces of phrases, each of at most ``PIECE_BYTES`` of text besides its last item."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
-    out, held, size = [], [], 0
-    for name, text in items.toLocalIterator():
-        held.append((name, text.encode()))
-        size += len(held[-1][1])
-        if size >= PIECE_BYTES:
-            out.append(spark.sparkContext.broadcast(Phrases(held, width)))
-            held, size = [], 0
-    if held:
-        out.append(spark.sparkContext.broadcast(Phrases(held, width)))
-    return out
+def item_parts(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Rows (item, words): an item's words joined by spaces, long ones in parts that share ``width`` - 1 words, so no window is cut."""
+    schema = pa.schema([("item", pa.string()), ("words", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                words = item_words(text)
+                starts = range(0, max(1, len(words) - width + 1) if words else 0, PART_WINDOWS)
+                parts = [b" ".join(words[i : i + PART_WINDOWS + width - 1]) for i in starts]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(parts), pa.string()), pa.array(parts, pa.binary())], schema=schema)
+
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").distinct()
+    return items.mapInArrow(run, "item string, words binary")
+
+
+def stored_phrases(benchmark: DataFrame, width: int = WIDTH) -> list[str]:
+    """Files in the shared folder, each with the phrases of one piece, made by the tasks."""
+    parts = stored(item_parts(benchmark, width), "benchmark-parts")
+    pieces = -(-(parts.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // PIECE_BYTES)
+    if not pieces:
+        return []
+
+    def made(piece: pd.DataFrame) -> pd.DataFrame:
+        phrases = Phrases(list(zip(piece["item"], map(bytes, piece["words"]), strict=True)), width)
+        return pd.DataFrame({"phrases": [pickle.dumps(phrases)]})
+
+    dealt = parts.withColumn("piece", F.pmod(F.xxhash64("item", "words"), F.lit(pieces)))
+    return stored(dealt.groupBy("piece").applyInPandas(made, "phrases binary"), "benchmark-phrases", maxRecordsPerFile=1).inputFiles()
+
+
+class Pieces:
+    """Phrases read from files one after the other. Each pass goes the other way, so it begins with the piece that is held."""
+
+    def __init__(self, files: list[str]):
+        self.files = list(files)
+        self.held: tuple[str, Phrases] | None = None
+
+    def __iter__(self) -> Iterator[Phrases]:
+        for name in self.files:
+            if self.held is None or self.held[0] != name:
+                system, path = FileSystem.from_uri(name)
+                self.held = name, pickle.loads(parquet.read_table(path, filesystem=system, partitioning=None)["phrases"][0].as_py())
+            yield self.held[1]
+        self.files.reverse()
 
 
-def by_shard(pieces: list, text_at: int, finish: Callable[[pa.RecordBatch, list], pa.RecordBatch]) -> Callable:
+def by_shard(files: list[str], text_at: int, finish: Callable[[pa.RecordBatch, list], pa.RecordBatch]) -> Callable:
     """A function over Arrow batches: cuts them into shards, scans each, and has ``finish`` make the output."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = [p.value for p in pieces]
+        phrases = Pieces(files)
         for batch in batches:
             texts = texts_of(batch.column(text_at))
             sizes = np.cumsum([len(t) // 5 for t in texts])
@@ -262,7 +301,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
             rows.append({"doc_id": i, "n_words": n, "n_hit": n_hit, "contaminated": contaminated(n, n_hit), "items": items, "spans": hit.tolist()})
         return pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
 
-    return docs.select("doc_id", "text").mapInArrow(by_shard(gathered_phrases(benchmark, width), 1, finish), DDL)
+    return docs.select("doc_id", "text").mapInArrow(by_shard(stored_phrases(benchmark, width), 1, finish), DDL)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -273,6 +312,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
         return batch.filter(pa.array(clean, pa.bool_()))
 
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    scanned = plain.mapInArrow(by_shard(gathered_phrases(benchmark, width), docs.columns.index("text"), finish), plain.schema)
+    scanned = plain.mapInArrow(by_shard(stored_phrases(benchmark, width), docs.columns.index("text"), finish), plain.schema)
     return scanned.toDF(*docs.columns)
 

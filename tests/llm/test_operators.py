@@ -375,9 +375,23 @@ def test_decontamination_in_pieces(docs, spark, monkeypatch):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     whole = decontamination.benchmark_hits(docs, benchmark).collect()
     monkeypatch.setattr(decontamination, "PIECE_BYTES", 300)
+    assert len(decontamination.stored_phrases(benchmark)) > 5
     same_rows(map(tuple, decontamination.benchmark_hits(docs, benchmark).collect()), map(tuple, whole))
 
 
+def test_long_items_keep_all_windows(spark, monkeypatch):
+    words = [f"w{i}" for i in range(200)]
+    items = spark.createDataFrame([(n, " ".join(words[:n])) for n in (0, 1, 12, 13, 14, 19, 20, 21, 200)], "item_id long, text string")
+    want = {(str(n), tuple(words[i : i + 13])) for n in (1, 12, 13, 14, 19, 20, 21, 200) for i in range(max(1, n - 12)) if i + 13 <= n or i == 0}
+    want = {(item, window[: int(item)]) for item, window in want}
+    monkeypatch.setattr(decontamination, "PART_WINDOWS", 7)
+    got = set()
+    for r in decontamination.item_parts(items).collect():
+        part = bytes(r["words"]).decode().split(" ")
+        got |= {(r["item"], tuple(part[i : i + 13])) for i in range(max(1, len(part) - 12))}
+    assert got == want
+
+
 def test_spectra_bound_what_sets_share():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 63, 400_000, dtype=np.uint64)
