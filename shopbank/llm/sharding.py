@@ -11,7 +11,8 @@ A group larger than an even share gets a shard of its own, and the others are de
 large group would set the capacity for all.
 
 Defined results: a null text has size 16 like an empty one, its checksum is 0, and null texts are a group of their own. Null and
-repeated ids are allowed. With fewer groups than shards some shards stay empty; an empty table gives no rows.
+repeated ids are allowed. With fewer groups than shards some shards stay empty; an empty table gives no rows. Equal texts, and rows repeated whole, are
+in one shard, each row with a slot of its own. A column ``shard`` that the documents have is replaced; others pass through.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from shopbank.llm.scratch import stored
 FIRST_BITS, MORE_BITS = 14, 5
 #: Rows that one task numbers, about.
 CELL_ROWS = 200_000
+#: Equal rows that are written out together.
+RUN = 4096
 
 
 class Ranges:
@@ -196,20 +199,29 @@ def sharded(docs: DataFrame, shards: int = 40) -> DataFrame:
     """Rows (doc_id, size, text_crc32, shard, slot): slots count from 0 in each shard without gaps.
 
     Rows are numbered in cells of a shard, dealt by hash of id and text; a cell begins where those before it end. The number
-    of cells follows the number of rows, so a shard is numbered by many tasks.
+    of cells follows the number of rows, so a shard is numbered by many tasks. Rows equal in id and text, null ones too, are counted
+    before they are numbered and take one number after the other; ``RUN`` numbers or fewer are written out by one task.
     """
     rows, plan = shard_plan(docs, shards)
+    kinds = rows.groupBy("doc_id", "key", "size", "text_crc32").agg(F.count("*").alias("n"))
     cells = 1 + rows.count() // CELL_ROWS
-    placed = rows.select(
+    placed = kinds.select(
         "*", plan.shard(F.col("key")).alias("shard"),
         F.pmod(F.xxhash64("doc_id", "key"), F.lit(cells)).cast("int").alias("cell"),
     )
-    counts = placed.groupBy("shard", "cell").agg(F.count("*").alias("n"))
+    counts = placed.groupBy("shard", "cell").agg(F.sum("n").alias("held"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    number = F.row_number().over(Window.partitionBy("shard", "cell").orderBy("key", "doc_id"))
-    numbered = placed.withColumn("number", number).join(begins, ["shard", "cell"])
-    return numbered.select("doc_id", "size", "text_crc32", "shard", (F.col("begin") + F.col("number") - 1).cast("long").alias("slot"))
+    begins = counts.select("shard", "cell", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("begin"))
+    earlier = Window.partitionBy("shard", "cell").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = placed.withColumn("number", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(begins, ["shard", "cell"])
+    numbered = stored(numbered.withColumn("first", F.col("begin") + F.col("number")), "shard-slots")
+    few = numbered.where(F.col("n") <= RUN).select("*", F.lit(0).cast("long").alias("run"))
+    # A hot row is a few numbers until its runs have been dealt to the tasks.
+    runs = numbered.where(F.col("n") > RUN).withColumn("runs", F.expr(f"(n - 1) div {RUN}"))
+    many = runs.select("*", F.explode(F.sequence(F.lit(0).cast("long"), "runs")).alias("run")).drop("runs").repartition("first", "run")
+    last = F.least(F.col("n"), (F.col("run") + 1) * RUN) - 1
+    slots = few.unionByName(many).select("*", F.explode(F.sequence(F.col("run") * RUN, last)).alias("place"))
+    return slots.select("doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("place")).cast("long").alias("slot"))
 
 
 def sharded_documents(docs: DataFrame, shards: int = 40) -> DataFrame:

@@ -183,6 +183,21 @@ def test_sharding(docs, texts, empty, shards):
     assert sharding.sharded(empty, shards).count() == 0
 
 
+@pytest.mark.parametrize("run", [1, 7, 4096])
+def test_sharding_numbers_repeated_rows(spark, monkeypatch, run):
+    monkeypatch.setattr(sharding, "RUN", run)
+    monkeypatch.setattr(sharding, "CELL_ROWS", 10)
+    counted = {(7, "same"): 50, (None, None): 30, (7, None): 8, (None, "same"): 1, (1, "one"): 2, (2, "two"): 1}
+    docs = spark.createDataFrame([k for k, n in counted.items() for _ in range(n)], "doc_id long, text string")
+    got = sharding.sharded(docs, 3).collect()
+    assert Counter((r.doc_id, r.text_crc32) for r in got) == Counter(
+        {(d, zlib.crc32((t or "").encode())): n for (d, t), n in counted.items()}
+    )
+    for shard in {r.shard for r in got}:
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
 def test_license_scan(spark, docs, empty):
     mit = license_scan.TEMPLATES["MIT"][1]
     words = mit.split()
