@@ -242,7 +242,9 @@ def stored_phrases(benchmark: DataFrame, width: int = WIDTH) -> list[str]:
         return pd.DataFrame({"phrases": [pickle.dumps(phrases)]})
 
     dealt = parts.withColumn("piece", F.pmod(F.xxhash64("item", "words"), F.lit(pieces)))
-    return stored(dealt.groupBy("piece").applyInPandas(made, "phrases binary"), "benchmark-phrases", maxRecordsPerFile=1).inputFiles()
+    phrases = stored(dealt.groupBy("piece").applyInPandas(made, "phrases binary"), "benchmark-phrases", maxRecordsPerFile=1)
+    # Files without rows are not named by any row.
+    return sorted(r[0] for r in phrases.select(F.col("_metadata.file_path")).distinct().collect())
 
 
 class Pieces:

@@ -390,10 +390,25 @@ def test_decontamination_in_pieces(docs, spark, monkeypatch):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     whole = decontamination.benchmark_hits(docs, benchmark).collect()
     monkeypatch.setattr(decontamination, "PIECE_BYTES", 300)
-    assert len(decontamination.stored_phrases(benchmark)) > 5
+    files = decontamination.stored_phrases(benchmark)
+    assert len(files) > 5 and len(list(decontamination.Pieces(files))) == len(files)
     same_rows(map(tuple, decontamination.benchmark_hits(docs, benchmark).collect()), map(tuple, whole))
 
 
+def test_benchmark_of_one_piece_over_many_partitions(docs, spark):
+    """A benchmark whose one piece falls into one of many shuffle partitions; the others write no phrases."""
+    benchmark = spark.createDataFrame([(k, docs.where("doc_id = 5").first().text) for k in range(3)], "item_id long, text string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        files = decontamination.stored_phrases(benchmark)
+        assert len(files) == 1 and [p.items for p in decontamination.Pieces(files)][0][0] == ["0", "1", "2"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_long_items_keep_all_windows(spark, monkeypatch):
     words = [f"w{i}" for i in range(200)]
     items = spark.createDataFrame([(n, " ".join(words[:n])) for n in (0, 1, 12, 13, 14, 19, 20, 21, 200)], "item_id long, text string")
