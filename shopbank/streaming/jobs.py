@@ -31,26 +31,28 @@ def order_totals(spark: SparkSession, target: str) -> DataFrame:
     return sinks.summed(spark.read.parquet(target), ORDER_KEYS, "total_quantity")
 
 
-def join_salts(spark: SparkSession, checkpoint: str) -> int:
-    """Into how many tasks the transactions of one client are spread: the first start decides, as the join's state is laid out by it."""
-    wanted = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+def join_salts(spark: SparkSession, checkpoint: str, wanted: int = 1) -> int:
+    """Into how many tasks the transactions of one client and cell are spread: the first start decides, as the join's state is laid out by it.
+
+    Every salt is a copy of all client updates in the state, so it does not follow the number of tasks.
+    """
     return sinks.kept_setting(spark, checkpoint, "salts", wanted)
 
 
-def _matches(spark: SparkSession, root: str, day: date | str, checkpoint: str) -> DataFrame:
+def _matches(spark: SparkSession, root: str, day: date | str, checkpoint: str, salts: int) -> DataFrame:
     return ops.client_matches(
         read_day_stream(spark, root, "transactions", day, schemas.TRANSACTION_STREAM),
         read_day_stream(spark, root, "clients", day, schemas.CLIENT_STREAM),
         day,
-        salts=join_salts(spark, checkpoint),
+        salts=join_salts(spark, checkpoint, salts),
     )
 
 
 def start_client_matches(
-    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
+    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY, salts: int = 1
 ) -> StreamingQuery:
     """Transactions with the client updates around them, below ``target``."""
-    return sinks.start_append(_matches(spark, root, day, checkpoint), target, checkpoint, every)
+    return sinks.start_append(_matches(spark, root, day, checkpoint, salts), target, checkpoint, every)
 
 
 VERSION_KEY, VERSION_ORDER = ["transaction_id"], ["nearness", "client_time", "client_name", "account_type"]
@@ -67,10 +69,10 @@ def nearest_versions(target: str) -> sinks.BatchWriter:
 
 
 def start_client_totals(
-    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
+    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY, salts: int = 1
 ) -> StreamingQuery:
     """Transactions with their nearest client version, one row each below ``target``; ``client_totals`` adds them up."""
-    return sinks.start_batches(_matches(spark, root, day, checkpoint), nearest_versions(target), checkpoint, every=every)
+    return sinks.start_batches(_matches(spark, root, day, checkpoint, salts), nearest_versions(target), checkpoint, every=every)
 
 
 def client_totals(spark: SparkSession, target: str) -> DataFrame:
@@ -84,10 +86,10 @@ def matched_increments(target: str) -> sinks.BatchWriter:
 
 
 def start_matched_totals(
-    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY
+    spark: SparkSession, root: str, day: date | str, target: str, checkpoint: str, every: str | None = EVERY, salts: int = 1
 ) -> StreamingQuery:
     """Amount by day and client version over all matches, as increments of each batch; no match is stored."""
-    return sinks.start_batches(_matches(spark, root, day, checkpoint), matched_increments(target), checkpoint, every=every)
+    return sinks.start_batches(_matches(spark, root, day, checkpoint, salts), matched_increments(target), checkpoint, every=every)
 
 
 def matched_totals(spark: SparkSession, target: str) -> DataFrame:

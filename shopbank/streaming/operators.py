@@ -32,18 +32,33 @@ def valid_orders(orders: DataFrame, day: date | str | None = None, delay: str =
     )
 
 
+#: Length of a cell of event time, in units of ``within``.
+CELL = 4
+
+
+def cells_near(time: Column, within: str, reach: int) -> Column:
+    """The cells of event time from ``reach`` times ``within`` before a time to as much after it."""
+    length = F.expr(f"unix_micros(timestamp_micros(0) + interval {within})")
+    first, last = (F.floor((F.unix_micros(time) + F.lit(x * reach) * length) / (length * CELL)) for x in (-1, 1))
+    return F.sequence(first, last)
+
+
 def client_matches(
     transactions: DataFrame,
     clients: DataFrame,
     day: date | str | None = None,
     within: str = "5 minutes",
     delay: str = "10 minutes",
-    salts: int = 8,
+    salts: int = 1,
 ) -> DataFrame:
     """Each transaction with every client update at most ``within`` before or after it.
 
-    Streaming joins have no skew handling of their own. The transactions of a client are therefore
-    spread over ``salts`` tasks, and each of the far fewer client updates is sent to all of them.
+    A streaming join holds both sides in its state and compares each row with all rows of its key. The key is
+    therefore (client, cell of event time): a transaction lies in one cell of four times ``within``, an update goes to the
+    one or two cells in its reach, half as many copies as updates. A client's rows of different times are different
+    tasks' work, so it does not matter how much history is kept or caught up with. Streaming joins have no skew handling
+    of their own: for a client too busy for one task within a single cell, ``salts`` spreads its transactions
+    further, at the price of as many copies of all updates. ``within`` is a fixed length, so no months.
     """
     left = (
         with_event_time(
@@ -58,6 +73,7 @@ def client_matches(
             "client_id",
             "amount",
             F.col("event_time").alias("transaction_time"),
+            F.get(cells_near(F.col("event_time"), within, 0), F.lit(0)).alias("cell"),
             F.pmod(F.hash("transaction_id"), F.lit(salts)).alias("salt"),
         )
     )
@@ -68,19 +84,21 @@ def client_matches(
             day,
         )
         .withWatermark("event_time", delay)
+        .select("*", F.explode(cells_near(F.col("event_time"), within, 1)).alias("_cell"))
         .select(
             F.col("client_id").alias("_client"),
             "client_name",
             "account_type",
             F.col("event_time").alias("client_time"),
+            "_cell",
             F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
         )
     )
     near = F.expr(
-        f"client_id = _client and salt = _salt "
+        f"client_id = _client and cell = _cell and salt = _salt "
         f"and client_time between transaction_time - interval {within} and transaction_time + interval {within}"
     )
-    return left.join(right, near).drop("_client", "_salt", "salt")
+    return left.join(right, near).drop("_client", "cell", "_cell", "salt", "_salt")
 
 
 CLIENT_KEYS = ["event_date", "client_id", "client_name", "account_type"]

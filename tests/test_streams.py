@@ -95,6 +95,29 @@ def test_client_matches(spark, root):
     assert CommittedTable(spark, nearest).read().count() == 3
 
 
+@pytest.mark.parametrize("salts", [1, 3])
+def test_client_matches_across_cells(spark, salts):
+    """Every pair within reach meets once, wherever the edges of the cells lie; also before 1970."""
+    start = datetime(1969, 12, 31, 22)
+    left = [(f"t{i}", str(i % 2), 1.0, start + timedelta(seconds=97 * i)) for i in range(150)]
+    right = [(str(i % 2), "Ana", f"u{i}", start + timedelta(seconds=100 * i)) for i in range(150)]
+    transactions, clients = spark.createDataFrame(left, schemas.TRANSACTION_STREAM), spark.createDataFrame(right, schemas.CLIENT_STREAM)
+    got = ops.client_matches(transactions, clients, salts=salts).select("transaction_id", "account_type")
+    reach = timedelta(minutes=5)
+    assert rows(got) == sorted([(t[0], u[2]) for t in left for u in right if t[1] == u[0] and abs(t[3] - u[3]) <= reach], key=repr)
+
+
+def test_state_of_matches_follows_the_input(spark, root):
+    """Neither the number of tasks nor how long a client is remembered multiplies the rows of the state or the pairs compared."""
+    times = [at(0) + timedelta(minutes=i) for i in range(1000)]
+    add_file(spark, root, "transactions", schemas.TRANSACTION_STREAM, [(f"t{i}", "1", 1.0, x) for i, x in enumerate(times)])
+    add_file(spark, root, "clients", schemas.CLIENT_STREAM, [("1", "Ana", "a", x) for x in times])
+    query = jobs.start_client_matches(spark, root, DAY, f"{root}/matches", f"{root}/checkpoint", every=None)
+    run(query)
+    assert sum(x["numRowsUpdated"] for p in query.recentProgress for x in p["stateOperators"]) <= 3 * len(times)
+    assert spark.read.parquet(f"{root}/matches").count() == sum(1 for x in range(1000) for y in range(1000) if abs(x - y) <= 5)
+
+
 def test_late_rows_are_dropped_behind_the_watermark(spark, root):
     schema = "id string, v double, ts timestamp"
     target, checkpoint = f"{root}/out", f"{root}/checkpoint"
