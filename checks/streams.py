@@ -94,7 +94,7 @@ def _order_totals(v: Views) -> DataFrame:
     return sinks.summed(v.spark.read.parquet(f"{path}/rows"), keys, "total_quantity")
 
 
-def _matches(events: DataFrame, salts: int = 8) -> DataFrame:
+def _matches(events: DataFrame, salts: int = 1) -> DataFrame:
     """Every event is a transaction, and an update of its client an hour and a half later."""
     transactions = events.selectExpr(
         "cast(event_id as string) as transaction_id", "cast(user_id as string) as client_id", "value as amount",
