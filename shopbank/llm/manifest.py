@@ -373,9 +373,8 @@ def proofs(packed: DataFrame, above: DataFrame) -> DataFrame:
                 for slot, x in enumerate(slots):
                     left, right = siblings.of(slot)
                     proof = sha256(b"".join(a + b for a, b in zip(left, right, strict=True)) + upper).hexdigest()
-                    root = row["top"]
-                    if x["changed"] is not None and x["changed"] != x["digest"]:
-                        root = folded(x["changed"].encode(), left + row["lefts"], right + row["rights"]).decode()
+                    leaf = x["digest"] if x["changed"] is None else x["changed"]
+                    root = folded(leaf.encode(), left + row["lefts"], right + row["rights"]).decode()
                     out.append(
                         {"doc_id": x["doc_id"], "leaf": x["digest"], "subroot": row["subroot"], "root": row["top"], "proof_sha256": proof,
                          "folded_root": root, "verified": root == row["top"], "source": row["tree"], "place": (row["g"] << BLOCK_BITS) + slot}
@@ -394,7 +393,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     """Rows (doc_id, leaf, subroot, root, proof_sha256, folded_root, verified, source, place) for all documents.
 
     ``tampered`` says of which documents the copy that is verified has A-Z of its text in small letters. Their roots are folded from
-    the changed leaf and the original siblings; a row is verified if it leads to the root.
+    the changed leaf and the original siblings, those of all others from their own; a row is verified if it leads to the root.
     """
     leaves = stored(leaf_rows(docs, tampered), "leaves")
     nodes = placed(leaves).withColumnsRenamed({"source": "tree", "leaf": "digest"})

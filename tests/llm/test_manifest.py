@@ -8,7 +8,7 @@ from hashlib import sha256
 import numpy as np
 from pyspark.sql import functions as F
 
-from shopbank.llm.manifest import BUCKET, COLUMNS, Ids, id_bitmaps, leaf_rows, manifest
+from shopbank.llm.manifest import BUCKET, COLUMNS, Ids, forest, id_bitmaps, leaf_rows, manifest, placed, proofs, source_paths
 
 DDL = "doc_id long, source string, lang string, n_chars long, text string"
 
@@ -117,5 +117,16 @@ def test_bitmaps_of_tasks_are_merged(spark):
     assert Ids(bytes(rows[0]["bits"]), bytes(rows[0]["ties"])).counts().tolist() == [2] * 2000 + [1] * 2096
 
 
+def test_untampered_rows_are_folded_too(spark):
+    """Against a root that is not theirs no row is verified, and each folds to the root of the rows given."""
+    docs = [(i, "a", "en", 1, "no capitals") for i in range(40)]
+    nodes = placed(leaf_rows(spark.createDataFrame(docs, DDL), None)).withColumnsRenamed({"source": "tree", "leaf": "digest"})
+    layers, roots = forest(nodes, "doc_id", "changed")
+    other = source_paths(roots).withColumn("top", F.lit(digest("another root")))
+    got = proofs(layers[0].withColumn("subroot", F.lit(None).cast("string")), other).collect()
+    root = next(iter(brute(docs)))[3]
+    assert [(r["folded_root"], r["verified"]) for r in got] == [(root, False)] * 40
+
+
 def test_columns():
     assert COLUMNS == ("doc_id", "source", "lang", "n_chars", "text")
