@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from shopbank.llm.exchange import PART_BYTES, deal, replies_in_order
 from shopbank.llm.scratch import stored
-from shopbank.llm.words import U64, factor, mixed
+from shopbank.llm.words import U64, factor, mixed, release, released
 
 ORDER = 3
 #: Weight of the frequencies after two, one and no tokens; the rest goes to the frequency in all text.
@@ -113,7 +113,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             yield block()
 
     kinds = "block long, ids array<long>, sizes array<long>, targets array<boolean>, codes binary, names binary"
-    return docs.mapInArrow(run, kinds + ", n_tokens long, n_texts long, target_tokens long, target_texts long")
+    return docs.mapInArrow(released(run), kinds + ", n_tokens long, n_texts long, target_tokens long, target_texts long")
 
 
 def gram_names(row: dict) -> tuple[list[np.ndarray], np.ndarray]:
@@ -202,9 +202,12 @@ def replies(blocks: DataFrame, sizes: tuple[int, ...], parts: int) -> DataFrame:
         found = [unpacked(raw, part, parts) for raw, part in zip(group["grams"], group["part"], strict=True)]
         sums = summed(np.concatenate([keys for keys, _ in found]), np.concatenate([counts for _, counts in found]))
         ends = np.cumsum([len(keys) for keys, _ in found])
-        return pd.DataFrame({"block": group["block"], "part": group["part"], "reply": [zstandard.compress(_planes(x), 1) for x in np.split(sums, ends[:-1])]})
+        sent = [zstandard.compress(_planes(x), 1) for x in np.split(sums, ends[:-1])]
+        del found, sums
+        release()
+        return pd.DataFrame({"block": group["block"], "part": group["part"], "reply": sent})
 
-    asked = blocks.mapInArrow(ask, "part int, block long, grams binary")
+    asked = blocks.mapInArrow(released(ask), "part int, block long, grams binary")
     answers = asked.groupBy("part").applyInPandas(answer, "block long, part int, reply binary")
     return answers.groupBy("block").agg(F.collect_list(F.struct("part", "reply")).alias("replies"))
 
@@ -259,16 +262,22 @@ def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> Dat
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 grams, begins = gram_names(row)
-                seen, wanted = np.empty((2, ORDER, len(grams[0])))
+                # Names, answers and sums go as soon as they are used, and counts are kept as they were answered: a block is large.
+                seen, wanted = np.empty((2, ORDER, len(grams[0])), np.float32)
                 for k, group in enumerate(PASSES):
                     keys, which = distinct_grams(grams, group)
-                    answers = [x | {"reply": _from_planes(zstandard.decompress(x["reply"]), SUMS)} for x in row[f"replies{k}"] or ()]
+                    for size in group:
+                        grams[size - 1] = None
+                    answers = (x | {"reply": _from_planes(zstandard.decompress(x["reply"]), SUMS)} for x in row.pop(f"replies{k}") or ())
                     sums = replies_in_order({"replies": answers}, keys, parts, SUMS)
                     for size, at in zip(group, which, strict=True):
                         seen[size - 1], wanted[size - 1] = sums["all"][at], sums["target"][at]
-                base = seen[0] / max(n_tokens, 1.0)
+                    del keys, which, sums, answers
+                base = seen[0].astype(np.float64) / max(n_tokens, 1.0)
                 losses = np.log(probabilities(seen, begins, n_tokens, n_texts, base))
+                del seen
                 losses -= np.log(probabilities(wanted, begins, target_tokens, target_texts, base))
+                del wanted, base
                 sizes = np.array(row["sizes"], np.int64)
                 scores = np.full(len(sizes), np.nan)
                 if len(begins):
@@ -277,4 +286,4 @@ def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> Dat
                     [pa.array(row["ids"], pa.int64()), pa.array(sizes), pa.Array.from_pandas(pd.Series(scores))], schema=OUT
                 )
 
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, score double")
+    return rows.mapInArrow(released(run), "doc_id long, n_tokens long, score double")

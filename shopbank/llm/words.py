@@ -33,15 +33,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def release() -> None:
+    """Hands free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``run``, which hands free memory back to the system when it ends; a worker that waits for its next task would hold it otherwise."""
 
     def whole(batches: Iterator) -> Iterator:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        release()
 
     return whole
 
