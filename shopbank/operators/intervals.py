@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from shopbank.functions.calendar import day_in_week, week_start
 
-#: Ranges of up to 2^20 weeks, which is more than dates can span.
-LEVELS = 20
 
 
 def week_number(day: Column) -> Column:
@@ -28,17 +26,19 @@ def week_ranges(low: str, high: str) -> Column:
     """Structs (level, range) that tile the weeks ``low`` to ``high``: the weeks from range * 2^level on, 2^level of them.
 
     At each level the ranges inside the window run from ``a`` to ``b``. All but an odd one at the left end and an even one at the right end are
-    halves of ranges of the next level that lie inside too.
+    halves of ranges of the next level that lie inside too. Levels whose ranges are longer than the window are not looked at.
     """
+    top = f"length(bin({high} - {low} + 1)) - 1"
     a, b = f"shiftright({low} + shiftleft(1, k) - 1, k)", f"shiftright({high} + 1, k) - 1"
     tiles = [f"if({a} <= {b} and pmod({x}, 2) = {odd}, struct(k as level, {x} as range), null)" for x, odd in ((a, 1), (b, 0))]
-    return F.expr(f"array_distinct(array_compact(flatten(transform(sequence(0, {LEVELS}), k -> array({', '.join(tiles)})))))")
+    return F.expr(f"array_distinct(array_compact(flatten(transform(sequence(0, {top}), k -> array({', '.join(tiles)})))))")
 
 
 def spread_over_ranges(windows: DataFrame, first: Column, last: Column) -> DataFrame:
     """One row per window and range of weeks, in the columns ``level`` and ``range``. Empty windows give none."""
     weeks = windows.where(first <= last).withColumns({"_low": week_number(first), "_high": week_number(last)})
-    tiled = weeks.withColumn("_tile", F.explode(week_ranges("_low", "_high")))
+    one = F.array(F.struct(F.lit(0).alias("level"), F.col("_low").alias("range")))
+    tiled = weeks.withColumn("_tile", F.explode(F.when(F.col("_low") == F.col("_high"), one).otherwise(week_ranges("_low", "_high"))))
     return tiled.select(*windows.columns, F.col("_tile.level").alias("level"), F.col("_tile.range").alias("range"))
 
 
@@ -52,7 +52,9 @@ def days_in_windows(
     share other names than the key with ``facts``.
     """
     ranges = spread_over_ranges(windows, first, last)
-    levels = ranges.agg(F.collect_set("level")).scalar()
+    # Windows of the same days have the same levels, so these are read from the distinct spans.
+    spans = windows.select(first.alias("_first"), last.alias("_last")).distinct()
+    levels = spread_over_ranges(spans, F.col("_first"), F.col("_last")).agg(F.collect_set("level")).scalar()
     dated = facts.withColumn("level", F.explode(levels)).withColumn("range", _range_of(day))
     pairs = dated.join(ranges, [key, "level", "range"])
     return pairs.where(F.col(day).between(first, last)).drop("level", "range")

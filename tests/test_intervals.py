@@ -6,6 +6,7 @@ from datetime import date, timedelta
 from conftest import rows
 from pyspark.sql import functions as F
 
+from shopbank.operators.discounts import purchases_during_discount
 from shopbank.operators.intervals import days_in_windows, spread_over_ranges, week_ranges
 
 
@@ -46,3 +47,20 @@ def test_no_windows(spark):
     f = spark.createDataFrame([("a", date(2024, 1, 1))], "product_id string, day date")
     w = spark.createDataFrame([], "product_id string, start date, stop date")
     assert days_in_windows(f, "day", w, F.col("start"), F.col("stop")).count() == 0
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lengths_are_read_from_distinct_spans(spark):
+    """Not from every window tiled once more, and windows not from discounts that were grouped by their ids."""
+    f = spark.createDataFrame([("a", date(2024, 1, 1))], "product_id string, day date")
+    w = spark.createDataFrame([("a", date(2024, 1, 1), date(2024, 1, 2))] * 3, "product_id string, start date, stop date")
+    joined = days_in_windows(f, "day", w, F.col("start"), F.col("stop"))
+    assert joined.count() == 3 and "Aggregate [_first" in optimized(joined)
+    discounts = w.selectExpr("'d' as discount_id", "product_id", "start as valid_from", "stop as valid_to")
+    lines = f.selectExpr("product_id", "cast(day as timestamp) as transaction_date", "'c' as customer_id", "2 as quantity")
+    bought = purchases_during_discount(lines, discounts)
+    assert rows(bought.select("purchase_count", "units_sold")) == [(3, 6)]
+    assert optimized(bought).count("count(1) AS copies") <= 1
