@@ -73,8 +73,9 @@ def purchases_during_discount(transactions: DataFrame, discounts: DataFrame) ->
     window = ["product_id", "valid_from", "valid_to"]
     listed = valid_discounts(discounts).groupBy("discount_id", *window).agg(F.count("*").alias("copies"))
     # Each distinct window meets the days once, however many discounts share it.
+    windows = valid_discounts(discounts).select(window).distinct()
     bought = (
-        days_in_windows(daily, "day", listed.select(window).distinct(), F.col("valid_from"), F.col("valid_to"))
+        days_in_windows(daily, "day", windows, F.col("valid_from"), F.col("valid_to"))
         .groupBy(window)
         .agg(F.sum("lines").alias("lines"), F.sum("units").alias("units"))
     )
