@@ -96,11 +96,11 @@ def filled_prices(
     )
     return (
         runs.where("listed and day <= until")
-        .select("*", F.explode(F.sequence("day", "until")).alias("valid_date"))
+        .select("*", F.explode(F.sequence(F.unix_date("day"), F.unix_date("until"))).alias("number"))
         .select(
             "product_id",
-            "valid_date",
-            F.when(F.col("valid_date") == F.col("day"), F.col("price")).alias("price"),
+            F.date_from_unix_date("number").alias("valid_date"),
+            F.when(F.col("number") == F.unix_date("day"), F.col("price")).alias("price"),
             "price_filled",
         )
     )
